@@ -5,16 +5,22 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.operators.parse import parse_telemetry, report_counts, split_rejects, with_shard
 from roadpulse.schema import TELEMETRY_COLUMNS
 from roadpulse.session import prunable_times
-from roadpulse.sources.files import admit_files, drop_seen_files, list_files, read_lines
-
-_FILE_LOG = "file_path string, file_name string, file_size bigint, load_id string"
+from roadpulse.sources.files import (
+    admit_files,
+    admitted_lines,
+    drop_seen_files,
+    list_files,
+    read_lines,
+)
+
+_FILE_LOG = "file_path string, file_name string, load_id string"
+_BROADCAST_BYTES = 64 * 1024 * 1024
 _REPORT_LOG = "seen bigint, good bigint, rejected bigint, load_id string"
 
 
@@ -92,12 +98,10 @@ def load_reports(spark: SparkSession, log: str) -> DataFrame:
 
 
 def _read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    """A log table, created empty on first use."""
+    empty = spark.createDataFrame([], schema)
+    empty.write.mode("ignore").partitionBy("load_id").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def load_folder(
@@ -117,14 +121,24 @@ def load_folder(
     load_id = load_id or uuid.uuid4().hex
     admitted = admit_files(list_files(spark, folder)).filter("admitted")
     fresh = drop_seen_files(admitted, completed_files(spark, log))
-    first_of_name = F.min_by(F.struct("file_path", "file_size"), F.struct("modified", "file_path"))
-    picked = fresh.groupBy("file_name").agg(first_of_name.alias("first"))
-    _replace_load(picked.select("first.*", "file_name"), f"{log}/files", load_id)
+    first_of_name = F.min_by("file_path", F.struct("modified", "file_path"))
+    picked = fresh.groupBy("file_name").agg(first_of_name.alias("file_path"))
+    _replace_load(picked, f"{log}/files", load_id)
     listed = _read_log(spark, f"{log}/files", _FILE_LOG).filter(F.col("load_id") == load_id)
-    # One key per file of at most 100 MiB, so this join is even whichever way Spark
-    # runs it; a short list is broadcast by its measured size.
-    lines = read_lines(spark, folder).join(listed.select("file_path"), "file_path", "left_semi")
+    lines = admitted_lines(read_lines(spark, folder)).join(_small_side(listed), "file_path", "left_semi")
     report = load_lines(lines, table, rejects, load_id)
-    done = spark.createDataFrame([(report.seen, report.good, report.rejected)], "seen bigint, good bigint, rejected bigint")
+    counts = [(report.seen, report.good, report.rejected)]
+    done = spark.createDataFrame(counts, "seen bigint, good bigint, rejected bigint")
     _replace_load(done, f"{log}/reports", load_id)
     return report
+
+
+def _small_side(files: DataFrame) -> DataFrame:
+    """File paths to match lines against, broadcast if their text is known to be small.
+
+    Beyond the bound the join shuffles; its keys are even, as no admitted file
+    exceeds 100 MiB.
+    """
+    paths = files.select("file_path")
+    total = paths.agg(F.sum(F.octet_length("file_path"))).first()[0] or 0
+    return F.broadcast(paths) if total <= _BROADCAST_BYTES else paths

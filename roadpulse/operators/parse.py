@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StringType
+from pyspark.sql.types import (
+    BooleanType,
+    DoubleType,
+    IntegerType,
+    StringType,
+    TimestampType,
+)
 
 from roadpulse.functions.times import month_key
 from roadpulse.schema import TELEMETRY_COLUMNS, TELEMETRY_FIELDS
@@ -28,47 +32,53 @@ KEPT_EMPTY = {"driverID", "carPlateNumber"}
 NO_DEFAULT = {"speed", "direction", "count_dangerEvent"}
 
 
+def _computed_once(column: Column) -> Column:
+    """The column as the output of a generator.
+
+    Filters move below projections, taking a copy of every expression they use
+    with them; nothing moves below a generator.
+    """
+    return F.explode(F.array(column))
+
+
 def split_fields(lines: DataFrame) -> DataFrame:
     """Lines stripped and cut at every comma into ``fields``; blank lines dropped."""
+    passed = [c for c in lines.columns if c != "value"]
+    stripped = F.btrim(F.col("value"), F.lit(WHITE_SPACE))
     return (
-        lines.withColumn("line", F.btrim(F.col("value"), F.lit(WHITE_SPACE)))
+        lines.select(*passed, _computed_once(stripped).alias("line"))
         .filter(F.col("line") != "")
         .withColumn("fields", F.split("line", ",", -1))
     )
 
 
-def _field(position: int, name: str) -> Column:
-    text = F.get("fields", F.lit(position))
-    return text if name in KEPT_EMPTY else F.nullif(text, F.lit(""))
-
-
-def _guarded(pattern: str, target: str, text: Column) -> Column:
-    return F.when(text.rlike(pattern), text.try_cast(target))
-
+def _field(position: int, name: str) -> str:
+    text = f"get(fields, {position})"
+    return text if name in KEPT_EMPTY else f"nullif({text}, '')"
 
-def _integer(text: Column) -> Column:
-    return text.try_cast("int")
 
+def _converted(kind, text: str) -> str:
+    """SQL of the typed value of a text; NULL if the text is not of that type."""
+    match kind:
+        case StringType():
+            return text
+        case DoubleType():
+            return f"CASE WHEN {text} RLIKE r'{DECIMAL_TEXT}' THEN try_cast({text} AS double) END"
+        case TimestampType():
+            return f"CASE WHEN {text} RLIKE r'{DATE_TIME_TEXT}' THEN try_cast({text} AS timestamp) END"
+        case _:
+            return f"try_cast({text} AS int)"
 
-_CONVERSIONS = {
-    DoubleType: partial(_guarded, DECIMAL_TEXT, "double"),
-    IntegerType: _integer,
-    BooleanType: _integer,
-}
 
-
-def _converted(kind, text: Column) -> Column:
-    convert = _CONVERSIONS.get(type(kind), partial(_guarded, DATE_TIME_TEXT, "timestamp"))
-    return text if isinstance(kind, StringType) else convert(text)
-
-
-def _finished(name: str, kind, value: Column) -> Column:
-    """Defaults for missing values, and flags as booleans."""
-    if isinstance(kind, BooleanType):
-        return F.coalesce(value != 0, F.lit(False))
-    if isinstance(kind, IntegerType) and name not in NO_DEFAULT:
-        return F.coalesce(value, F.lit(0))
-    return value
+def _finished(name: str, kind) -> str:
+    """SQL of the stored value: defaults for missing ones, and flags as booleans."""
+    match kind:
+        case BooleanType():
+            return f"coalesce({name} != 0, false)"
+        case IntegerType() if name not in NO_DEFAULT:
+            return f"coalesce({name}, 0)"
+        case _:
+            return name
 
 
 def parse_telemetry(lines: DataFrame) -> DataFrame:
@@ -77,47 +87,30 @@ def parse_telemetry(lines: DataFrame) -> DataFrame:
     Columns of ``lines`` other than ``value`` are passed through. All work is
     built-in expressions: the text is cut once, every field is converted once.
     """
-    passed = [c for c in lines.columns if c != "value"]
-    cut = split_fields(lines)
-    raw = cut.select(
-        *passed,
-        "line",
-        *[_field(i, name).alias(f"text_{name}") for i, (name, _) in enumerate(TELEMETRY_FIELDS)],
-    )
-    typed = raw.select(
-        *passed,
-        "line",
-        *[
-            column
-            for name, kind in TELEMETRY_FIELDS
-            for column in (
-                F.col(f"text_{name}").isNotNull().alias(f"has_{name}"),
-                _converted(kind, F.col(f"text_{name}")).alias(name),
-            )
-        ],
-    )
-    failed = [
-        F.when(F.col(f"has_{name}") & F.col(name).isNull(), name)
-        for name, kind in TELEMETRY_FIELDS
-        if not isinstance(kind, StringType)
+    passed = [c for c in lines.columns if c != "value"] + ["line"]
+    texts = [
+        f"{_field(i, name)} AS text_{name}" for i, (name, _) in enumerate(TELEMETRY_FIELDS)
     ]
-    undecodable = F.when(~F.is_valid_utf8("line"), "encoding")
-    records = typed.select(
-        *[_finished(name, kind, F.col(name)).alias(name) for name, kind in TELEMETRY_FIELDS],
-        *passed,
-        "line",
-        F.concat_ws(",", *failed, undecodable).alias("reasons"),
+    typed = [
+        f"{_converted(kind, f'text_{name}')} AS {name}" for name, kind in TELEMETRY_FIELDS
+    ]
+    checked = [name for name, kind in TELEMETRY_FIELDS if not isinstance(kind, StringType)]
+    given = [f"text_{name} IS NOT NULL AS has_{name}" for name in checked]
+    stored = [f"{_finished(name, kind)} AS {name}" for name, kind in TELEMETRY_FIELDS]
+    failed = [f"CASE WHEN has_{name} AND {name} IS NULL THEN '{name}' END" for name in checked]
+    undecodable = "CASE WHEN NOT is_valid_utf8(line) THEN 'encoding' END"
+    reasons = f"concat_ws(',', {', '.join([*failed, undecodable])}) AS reasons"
+    records = (
+        split_fields(lines)
+        .selectExpr(*passed, *texts)
+        .selectExpr(*passed, *given, *typed)
+        .selectExpr(*stored, *passed, reasons)
     )
-    # A filter on the reasons would otherwise be moved below the projections and
-    # convert every field again; nothing moves below a generator.
-    settled = records.withColumn("reasons", F.explode(F.array("reasons")))
-    return settled.select(
+    return records.withColumn("reasons", _computed_once(F.col("reasons"))).selectExpr(
         *TELEMETRY_COLUMNS,
         *passed,
-        "line",
-        F.when(F.col("reasons") == "", F.array().cast("array<string>"))
-        .otherwise(F.split("reasons", ","))
-        .alias("reject_reasons"),
+        "CASE WHEN reasons = '' THEN cast(array() AS array<string>) "
+        "ELSE split(reasons, ',') END AS reject_reasons",
     )
 
 

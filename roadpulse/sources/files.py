@@ -12,13 +12,19 @@ SAFE_NAME = r"^[a-zA-Z0-9_\-\.]+$"
 UPLOAD_NAME = r"(?i)^detail_record_\d{4}_\d{2}_\d{2}_\d{2}_\d{2}_\d{2}(\.(csv|txt))?$"
 MONTH_IN_NAME = r"(?i)^detail_record_\d{4}_(0[1-9]|1[0-2])_"
 
-# An upload is a file, or a folder of part files as Spark writes one (optionally
-# named ``column=upload``); its name is the last path element that names it.
-_UPLOAD_IN_PATH = r"([^/=]+)(?:/part-[^/]*)?$"
+# An upload is a file, or a folder of part files as Spark writes one, which may
+# also be the folder of a partition value (``column=upload``).
+_PART_FILE = r"/part-[^/]*$"
+_LAST_NAME = r"([^/=]+)$"
+
+
+def upload_path(path: Column) -> Column:
+    """Path of the upload a physical file belongs to."""
+    return F.regexp_replace(path, _PART_FILE, "")
 
 
 def upload_name(path: Column) -> Column:
-    return F.regexp_extract(path, _UPLOAD_IN_PATH, 1)
+    return F.regexp_extract(upload_path(path), _LAST_NAME, 1)
 
 
 def file_extension(name: Column) -> Column:
@@ -37,13 +43,16 @@ def rejection(name: Column, size: Column) -> Column:
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Files under ``folder``, recursively; contents are not read."""
+    """Files under ``folder``, recursively; contents are not read.
+
+    The part files of one upload share its ``file_path`` and ``file_name``.
+    """
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     )
     name = upload_name(F.col("path"))
     return listing.select(
-        F.col("path").alias("file_path"),
+        upload_path(F.col("path")).alias("file_path"),
         name.alias("file_name"),
         F.col("length").alias("file_size"),
         file_extension(name).alias("extension"),
@@ -66,15 +75,25 @@ def drop_seen_files(files: DataFrame, seen: DataFrame) -> DataFrame:
     return files.join(seen.select("file_name"), "file_name", "left_anti")
 
 
-def read_lines(spark: SparkSession, paths: str | list[str], streaming: bool = False) -> DataFrame:
-    """Raw lines with the name, path and size of the upload they come from."""
+def read_lines(
+    spark: SparkSession,
+    paths: str | list[str],
+    streaming: bool = False,
+    max_bytes: str | None = None,
+) -> DataFrame:
+    """Raw lines with the name, path and size of the upload they come from.
+
+    A stream may bound each batch to about ``max_bytes`` of files.
+    """
     reader = spark.readStream if streaming else spark.read
+    if streaming and max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     text = reader.format("text").option("recursiveFileLookup", "true").load(paths)
     path = F.col("_metadata.file_path")
     return text.select(
         "value",
         upload_name(path).alias("file_name"),
-        path.alias("file_path"),
+        upload_path(path).alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
     )
 
