@@ -79,7 +79,7 @@ def read_lines(
     spark: SparkSession,
     paths: str | list[str],
     streaming: bool = False,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Raw lines with the name, path and size of the upload they come from.
 

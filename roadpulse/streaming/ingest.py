@@ -16,7 +16,7 @@ def ingest_stream(
     rejects: str,
     checkpoint: str,
     trigger: str | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> StreamingQuery:
     """Load admitted files of ``folder`` into the month table, and keep watching it.
 

@@ -17,6 +17,8 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "5000")
+        .config("spark.sql.debug.maxToStringFields", "500")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
