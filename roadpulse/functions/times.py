@@ -56,14 +56,16 @@ def shard_names(start, end) -> list[str]:
     return [TABLE_PREFIX + key for key in shard_keys(start, end)]
 
 
-def shard_names_between(start: Column, end: Column) -> Column:
-    """Array of month table names for a range held in columns; empty if reversed."""
-    months = F.sequence(
-        F.trunc(start, "month"), F.trunc(end, "month"), F.make_ym_interval(F.lit(0), F.lit(1))
-    )
-    names = F.transform(months, lambda m: F.concat(F.lit(TABLE_PREFIX), month_key(m)))
-    in_order = F.trunc(start, "month") <= F.trunc(end, "month")
-    return F.when(in_order, names).otherwise(F.array().cast("array<string>"))
+def shard_months(start: Column, end: Column) -> Column:
+    """Array of the first days of the months in a range held in columns; empty if reversed."""
+    first, last = F.trunc(start, "month"), F.trunc(end, "month")
+    months = F.sequence(first, last, F.make_ym_interval(F.lit(0), F.lit(1)))
+    return F.when(first <= last, months).otherwise(F.array().cast("array<date>"))
+
+
+def shard_name(month: Column) -> Column:
+    """Name of the month table of a date or timestamp."""
+    return F.concat(F.lit(TABLE_PREFIX), month_key(month))
 
 
 def default_range(now: datetime) -> tuple[str, str]:

@@ -13,7 +13,6 @@ from roadpulse.schema import TELEMETRY_COLUMNS
 from roadpulse.session import prunable_times
 from roadpulse.sources.files import (
     admit_files,
-    admitted_lines,
     drop_seen_files,
     list_files,
     read_lines,
@@ -44,18 +43,25 @@ def _replace_load(df: DataFrame, path: str, load_id: str, *partitions: str) -> N
     )
 
 
-def append_telemetry(df: DataFrame, path: str, load_id: str | None = None) -> str:
+def append_telemetry(
+    df: DataFrame, path: str, load_id: str | None = None, gather: bool = False
+) -> str:
     """Append records (with ``shard``) to the month table; returns the load's id.
 
     A load owns its ``shard=…/load_id=…`` folders: running it again under the same
     id replaces them, so a failed or repeated load neither loses nor doubles rows.
-    No shuffle: a task writes the months of its own input, sorted by driver and
-    time so that driver and time filters skip row groups.
+    Files are sorted by driver and time, so that both kinds of filter skip pages.
+
+    Without ``gather`` nothing is shuffled and a task writes the months of its own
+    input: right for uploads, which hold one month each. With it records are first
+    brought together by month, for input that has every month everywhere; adaptive
+    execution cuts a large month into many evenly sized files.
     """
     load_id = load_id or uuid.uuid4().hex
-    stored = df.select(*TELEMETRY_COLUMNS, "shard").sortWithinPartitions(
-        "shard", "driverID", "record_time"
-    )
+    stored = df.select(*TELEMETRY_COLUMNS, "shard")
+    if gather:
+        stored = stored.hint("rebalance", "shard")
+    stored = stored.sortWithinPartitions("shard", "driverID", "record_time")
     with prunable_times(df.sparkSession):
         _replace_load(stored, path, load_id, "shard")
     return load_id
@@ -70,18 +76,23 @@ def load_lines(
 ) -> LoadReport:
     """Parse lines, store the good records and, if there are any, the rejects.
 
-    The counts are observed while the good records are written, so clean input is
-    read once. The write has no shuffle after the parse, hence every line is
-    counted by exactly one successful task.
+    Lines are counted while one of the two is written, always by the one without a
+    shuffle after the parse: there every line is counted by exactly one successful
+    task, whatever executors are lost. Routed by file name that is the good
+    records, so clean input is read once; routed by time it is the rejects.
     """
     load_id = load_id or uuid.uuid4().hex
     counts = Observation(f"load {load_id} {uuid.uuid4().hex}")
     parsed = parse_telemetry(lines)
-    good, _ = split_rejects(parsed.observe(counts, *report_counts()))
-    append_telemetry(with_shard(good, route), table, load_id)
+    counted = parsed.observe(counts, *report_counts())
+    by_time = route == "record_time"
+    good, _ = split_rejects(parsed if by_time else counted)
+    _, bad = split_rejects(counted if by_time else parsed)
+    if by_time:
+        _replace_load(bad, rejects, load_id)
+    append_telemetry(with_shard(good, route), table, load_id, gather=by_time)
     report = LoadReport(load_id=load_id, **counts.get)
-    if report.rejected:
-        _, bad = split_rejects(parsed)
+    if report.rejected and not by_time:
         _replace_load(bad, rejects, load_id)
     return report
 
@@ -111,6 +122,7 @@ def load_folder(
     rejects: str,
     log: str,
     load_id: str | None = None,
+    route: str = "file_name",
 ) -> LoadReport:
     """Load the admitted files of a folder that no earlier load has completed.
 
@@ -121,18 +133,28 @@ def load_folder(
     load_id = load_id or uuid.uuid4().hex
     admitted = admit_files(list_files(spark, folder)).filter("admitted")
     fresh = drop_seen_files(admitted, completed_files(spark, log))
-    first_of_name = F.min_by("file_path", F.struct("modified", "file_path"))
-    picked = fresh.groupBy("file_name").agg(first_of_name.alias("file_path"))
-    _replace_load(picked, f"{log}/files", load_id)
+    _replace_load(_first_of_each_name(fresh), f"{log}/files", load_id)
     listed = _read_log(spark, f"{log}/files", _FILE_LOG).filter(F.col("load_id") == load_id)
-    lines = admitted_lines(read_lines(spark, folder)).join(_small_side(listed), "file_path", "left_semi")
-    report = load_lines(lines, table, rejects, load_id)
+    lines = read_lines(spark, folder).join(_small_side(listed), "file_path", "left_semi")
+    report = load_lines(lines, table, rejects, load_id, route)
     counts = [(report.seen, report.good, report.rejected)]
     done = spark.createDataFrame(counts, "seen bigint, good bigint, rejected bigint")
     _replace_load(done, f"{log}/reports", load_id)
     return report
 
 
+def _first_of_each_name(files: DataFrame) -> DataFrame:
+    """Of uploads that share a name, the files of the one that came first."""
+    upload = F.when(
+        F.col("file_path").rlike("/part-[^/]*$"), F.substring_index("file_path", "/part-", 1)
+    ).otherwise(F.col("file_path"))
+    placed = files.withColumn("upload", upload)
+    first = placed.groupBy("file_name").agg(
+        F.min_by("upload", F.struct("modified", "upload")).alias("upload")
+    )
+    return placed.join(first, ["file_name", "upload"], "left_semi").select("file_path", "file_name")
+
+
 def _small_side(files: DataFrame) -> DataFrame:
     """File paths to match lines against, broadcast if their text is known to be small.
 

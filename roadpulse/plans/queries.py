@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.functions.times import TABLE_PREFIX, normalize_ts, shard_names_between
+from roadpulse.functions.times import TABLE_PREFIX, normalize_ts, shard_months, shard_name
 from roadpulse.operators.behavior import (
     behavior_summary,
     drivers_in_range,
@@ -160,8 +160,9 @@ def month_shards_range(spark, sf_dir):
         F.min("o_orderdate").cast("date").alias("first"),
         F.max("o_orderdate").cast("date").alias("last"),
     )
-    names = shard_names_between(F.col("first"), F.col("last"))
-    return spans.select("o_custkey", F.explode(names).alias("shard_table"))
+    months = F.explode(shard_months(F.col("first"), F.col("last")))
+    named = shard_name(F.col("month")).alias("shard_table")
+    return spans.select("o_custkey", months.alias("month")).select("o_custkey", named)
 
 
 def month_row_counts(spark, sf_dir):
@@ -176,7 +177,8 @@ def _orders_table(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _written_tables:
         path = scratch_folder(spark, "orders-table")
-        append_telemetry(with_shard(_orders(spark, sf_dir), route="record_time"), path, "orders")
+        records = with_shard(_orders(spark, sf_dir), route="record_time")
+        append_telemetry(records, path, "orders", gather=True)
         _written_tables[key] = path
     return _written_tables[key]
 

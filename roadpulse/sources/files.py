@@ -11,20 +11,20 @@ MAX_FILE_BYTES = 100 * 1024 * 1024
 SAFE_NAME = r"^[a-zA-Z0-9_\-\.]+$"
 UPLOAD_NAME = r"(?i)^detail_record_\d{4}_\d{2}_\d{2}_\d{2}_\d{2}_\d{2}(\.(csv|txt))?$"
 MONTH_IN_NAME = r"(?i)^detail_record_\d{4}_(0[1-9]|1[0-2])_"
-
-# An upload is a file, or a folder of part files as Spark writes one, which may
-# also be the folder of a partition value (``column=upload``).
-_PART_FILE = r"/part-[^/]*$"
-_LAST_NAME = r"([^/=]+)$"
-
-
-def upload_path(path: Column) -> Column:
-    """Path of the upload a physical file belongs to."""
-    return F.regexp_replace(path, _PART_FILE, "")
+# A name that passes every rule: the upload pattern implies extension and characters.
+ADMITTED_NAME = UPLOAD_NAME.replace(r"\d{4}_\d{2}", r"\d{4}_(0[1-9]|1[0-2])", 1)
 
 
 def upload_name(path: Column) -> Column:
-    return F.regexp_extract(upload_path(path), _LAST_NAME, 1)
+    """Name of the upload a physical file belongs to.
+
+    An upload is a file, or a folder of part files as Spark writes one, which may
+    also be the folder of a partition value (``column=upload``). Plain string
+    functions, because this is computed for every line.
+    """
+    last = F.substring_index(path, "/", -1)
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.substring_index(F.when(last.startswith("part-"), folder).otherwise(last), "=", -1)
 
 
 def file_extension(name: Column) -> Column:
@@ -45,14 +45,14 @@ def rejection(name: Column, size: Column) -> Column:
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """Files under ``folder``, recursively; contents are not read.
 
-    The part files of one upload share its ``file_path`` and ``file_name``.
+    The part files of one upload share its ``file_name``.
     """
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     )
     name = upload_name(F.col("path"))
     return listing.select(
-        upload_path(F.col("path")).alias("file_path"),
+        F.col("path").alias("file_path"),
         name.alias("file_name"),
         F.col("length").alias("file_size"),
         file_extension(name).alias("extension"),
@@ -93,7 +93,7 @@ def read_lines(
     return text.select(
         "value",
         upload_name(path).alias("file_name"),
-        upload_path(path).alias("file_path"),
+        path.alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
     )
 
@@ -102,6 +102,8 @@ def admitted_lines(lines: DataFrame) -> DataFrame:
     """Lines of admitted files only.
 
     The rules use nothing but file metadata, so Spark applies them to the file
-    listing and never opens a file that fails.
+    listing and never opens a file that fails. They are also tested on every line,
+    so they come down to one pattern and one comparison here.
     """
-    return lines.filter(rejection(F.col("file_name"), F.col("file_size")).isNull())
+    fits = F.col("file_size") <= MAX_FILE_BYTES
+    return lines.filter(fits & F.col("file_name").rlike(ADMITTED_NAME))

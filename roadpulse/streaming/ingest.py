@@ -17,6 +17,7 @@ def ingest_stream(
     checkpoint: str,
     trigger: str | None = None,
     max_bytes: int | None = None,
+    route: str = "file_name",
 ) -> StreamingQuery:
     """Load admitted files of ``folder`` into the month table, and keep watching it.
 
@@ -28,7 +29,7 @@ def ingest_stream(
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        load_lines(batch, table, rejects, f"{query_id}_{batch_id}")
+        load_lines(batch, table, rejects, f"{query_id}_{batch_id}", route)
 
     lines = admitted_lines(read_lines(spark, folder, streaming=True, max_bytes=max_bytes))
     writer = lines.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)

@@ -31,6 +31,8 @@ def test_admission_rules_in_order(spark):
     got = admit_files(files).collect()
     assert [(r["file_name"], r["file_size"], r["reason"]) for r in got] == cases
     assert [r["admitted"] for r in got] == [reason is None for _, _, reason in cases]
+    passed = admitted_lines(files).collect()
+    assert [tuple(r) for r in passed] == [c[:2] for c in cases if c[2] is None]
 
 
 def test_listing(spark, tmp_path):
@@ -61,5 +63,7 @@ def test_lines_of_admitted_files_only(spark, tmp_path):
 def test_folder_written_by_spark_is_one_upload(spark, tmp_path):
     path = str(tmp_path / f"upload={NAME}.csv")
     spark.range(4).selectExpr("cast(id AS string) AS value").repartition(2).write.text(path)
-    got = read_lines(spark, str(tmp_path)).select("file_name", "file_path").distinct().collect()
-    assert [(r[0], r[1].endswith(f"upload={NAME}.csv")) for r in got] == [(f"{NAME}.csv", True)]
+    got = admitted_lines(read_lines(spark, str(tmp_path)))
+    assert got.count() == 4
+    assert tuples(got.select("file_name").distinct()) == [(f"{NAME}.csv",)]
+    assert tuples(list_files(spark, str(tmp_path)).select("file_name").distinct()) == [(f"{NAME}.csv",)]

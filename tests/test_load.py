@@ -44,6 +44,18 @@ def test_only_new_admitted_files_are_loaded(spark, place):
     assert [(r["line"], r["reject_reasons"]) for r in rejected] == [("d9,P,bad", ["latitude"])]
 
 
+def test_route_by_record_time(spark, place):
+    (place / "in" / (NAME % 2)).write_text(
+        GOOD % 1 + "bad,P,x\n" + (GOOD % 2).replace("2017-01", "2017-02")
+    )
+    report = load(spark, place, route="record_time")
+    assert (report.seen, report.good, report.rejected) == (3, 2, 1)
+    assert stored(spark, place) == ["d1"]
+    later = read_telemetry(spark, str(place / "table"), "2017-02-01", "2017-02-28")
+    assert [r["driverID"] for r in later.collect()] == ["d2"]
+    assert spark.read.parquet(str(place / "rejects")).count() == 1
+
+
 def test_unfinished_load_is_repeated_without_duplicates(spark, place, monkeypatch):
     (place / "in" / (NAME % 2)).write_text(GOOD % 1)
     import roadpulse.operators.load as module

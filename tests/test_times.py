@@ -11,7 +11,8 @@ from roadpulse.functions.times import (
     parse_bound,
     shard_keys,
     shard_names,
-    shard_names_between,
+    shard_name,
+    shard_months,
 )
 
 
@@ -40,8 +41,9 @@ def test_shards_are_the_months_of_the_days(start, days):
 def test_shard_names_in_columns_equal_the_list(spark):
     spans = [("2016-11-05", "2017-02-01"), ("2017-02-01", "2017-01-31"), ("2020-05-09", "2020-05-01")]
     df = spark.createDataFrame(spans, "a string, b string")
-    got = df.select("a", "b", shard_names_between(F.col("a").cast("date"), F.col("b").cast("date")))
-    assert [tuple(r) for r in got.collect()] == [(a, b, shard_names(a, b)) for a, b in spans]
+    months = shard_months(F.col("a").cast("date"), F.col("b").cast("date"))
+    got = df.select("a", "b", F.explode(months).alias("m")).select("a", "b", shard_name(F.col("m")))
+    assert [tuple(r) for r in got.collect()] == [(a, b, n) for a, b in spans for n in shard_names(a, b)]
 
 
 @pytest.mark.parametrize(
