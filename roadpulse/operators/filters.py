@@ -27,7 +27,8 @@ def in_scan_order(df: DataFrame, *columns: str) -> DataFrame:
     """Sort by ``columns``; ties keep the order the scan delivered them in.
 
     The tie-breaker also lets the range shuffle cut through a run of equal keys,
-    so one timestamp that holds a large part of the rows is spread over tasks.
+    so one timestamp that holds a large part of the rows is spread over tasks. Meant
+    for rows straight from a scan, whose order a repeated task reproduces.
     """
     return (
         df.withColumn("_scan_order", F.monotonically_increasing_id())

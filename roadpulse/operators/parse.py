@@ -17,9 +17,9 @@ from roadpulse.schema import TELEMETRY_COLUMNS, TELEMETRY_FIELDS
 
 # What counts as white space at the ends of a line.
 WHITE_SPACE = (
-    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0 "
-    + "".join(map(chr, range(0x2000, 0x200B)))
-    + "    　"
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 # Spark's casts alone would also take "22.5d", "NaN" or a bare year.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
 from functools import reduce
 from operator import and_
@@ -19,9 +20,12 @@ from roadpulse.functions.display import (
 from roadpulse.functions.times import clock_label, moment, require_range
 from roadpulse.operators.filters import in_range, in_scan_order
 from roadpulse.schema import SPEED_INPUT
+from roadpulse.session import scratch_folder
 
 WINDOW_MINUTES = 3
 WINDOW_KEYS = ["driverID", "window_index"]
+# Upper bound of the rows (about 60 bytes each) a window split may broadcast.
+_BROADCAST_ROWS = 500_000
 
 
 def speed_series(df: DataFrame) -> DataFrame:
@@ -151,21 +155,24 @@ def window_lists(
 
     A window with more than ``max_points`` samples comes as several rows: whole
     seconds in time order, a second above the limit cut further. ``part`` numbers
-    them, and every sample is in exactly one part. Whether such windows exist is
-    asked first, with one combined count, because the split needs a join that
-    ordinary data should not pay for.
+    them, and every sample is in exactly one part. Which windows those are is found
+    first, with one combined count, because the split needs a join that ordinary
+    data should not pay for.
     """
     points = speed_points(df.select(*SPEED_INPUT))
     indexed = _in_windows(points, start, end, minutes)
     sizes = indexed.groupBy(*WINDOW_KEYS).agg(F.count("*").alias("n_window"))
-    large = sizes.filter(F.col("n_window") > max_points)
-    if large.isEmpty():
+    large = _written(sizes.filter(F.col("n_window") > max_points).select(*WINDOW_KEYS))
+    n_large = large.count()
+    if n_large == 0:
         parted = indexed.withColumn("part", F.lit(0).cast("bigint"))
     else:
-        parted = _split_large(indexed, large, max_points)
+        fits = n_large * minutes * 60 <= _BROADCAST_ROWS
+        parted = _split_large(indexed, large, max_points, F.broadcast if fits else _unchanged)
+    point = F.struct("record_time", "label", "speed", "colour")
     return (
         parted.groupBy(*WINDOW_KEYS, "part")
-        .agg(F.sort_array(F.collect_list(F.struct("record_time", "label", "speed", "colour"))).alias("p"))
+        .agg(F.sort_array(F.collect_list(point)).alias("p"))
         .select(
             *WINDOW_KEYS,
             "part",
@@ -176,16 +183,28 @@ def window_lists(
     )
 
 
-def _split_large(indexed: DataFrame, large: DataFrame, max_points: int) -> DataFrame:
-    """Number the parts of oversized windows from their per-second counts."""
-    timed = indexed.withColumn("second", F.unix_seconds("record_time"))
-    # A window holds at most 60 x minutes distinct seconds, so the running sum
-    # below works on small groups however many samples there are.
+def _split_large(
+    indexed: DataFrame,
+    large: DataFrame,
+    max_points: int,
+    small: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Number the parts of oversized windows from their per-second counts.
+
+    ``small`` marks a join side as broadcast when the number of oversized windows
+    allows it; then the samples are not shuffled here. Otherwise the crowded side
+    is the left one of each join, which adaptive execution may split.
+    """
+    timed = indexed.withColumns(
+        {"second": F.unix_seconds("record_time"), "position": F.monotonically_increasing_id()}
+    )
     seconds = (
-        timed.groupBy(*WINDOW_KEYS, "second")
+        timed.join(small(_renamed(large, WINDOW_KEYS)), _same_keys(WINDOW_KEYS), "left_semi")
+        .groupBy(*WINDOW_KEYS, "second")
         .agg(F.count("*").alias("n_second"))
-        .join(_renamed(large, WINDOW_KEYS), _same_keys(WINDOW_KEYS), "left_semi")
     )
+    # A window holds at most 60 x minutes distinct seconds, so this running sum
+    # works on small groups however many samples there are.
     before = Window.partitionBy(*WINDOW_KEYS).orderBy("second").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -194,13 +213,23 @@ def _split_large(indexed: DataFrame, large: DataFrame, max_points: int) -> DataF
         "first_part", F.coalesce(F.sum("slices").over(before), F.lit(0))
     )
     keys = [*WINDOW_KEYS, "second"]
-    joined = timed.join(_renamed(parts, keys), _same_keys(keys), "left")
-    # The hot side is the left one of an outer join, which adaptive execution may
-    # split; the position then deals a crowded second evenly over its slices.
-    dealt = F.pmod(F.monotonically_increasing_id(), F.col("slices"))
+    joined = timed.join(small(_renamed(parts, keys)), _same_keys(keys), "left")
+    # The scan position, taken before any shuffle so that a repeated task finds the
+    # same one, deals a crowded second evenly over its slices.
+    dealt = F.pmod("position", "slices")
     return joined.withColumn("part", F.coalesce(F.col("first_part") + dealt, F.lit(0)))
 
 
+def _written(df: DataFrame) -> DataFrame:
+    path = scratch_folder(df.sparkSession, "windows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _unchanged(df: DataFrame) -> DataFrame:
+    return df
+
+
 def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumnsRenamed({key: f"large_{key}" for key in keys})
 

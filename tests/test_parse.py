@@ -1,8 +1,11 @@
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 from records import at, tuples
 
 from roadpulse.operators.parse import (
+    WHITE_SPACE,
     ingest_report,
     parse_telemetry,
     split_fields,
@@ -93,6 +96,10 @@ def test_line_is_stripped_but_inner_fields_keep_blanks(spark):
     assert rows[0]["fields"] == ["a ", " b ", ""]
 
 
+def test_white_space_is_all_of_unicode():
+    assert set(WHITE_SPACE) == {c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace()}
+
+
 def test_empty_driver_and_plate_are_kept(spark):
     row = parse_telemetry(lines(spark, ",,")).first()
     assert (row["driverID"], row["carPlateNumber"]) == ("", "")

@@ -2,6 +2,7 @@ from collections import defaultdict
 from datetime import datetime, timedelta
 from random import Random
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -114,7 +115,9 @@ def test_windows_equal_brute_force(spark, samples, start, end):
     }
 
 
-def test_crowded_window_is_split_without_losing_or_reordering(spark):
+@pytest.mark.parametrize("broadcast_rows", [0, 500_000])
+def test_crowded_window_is_split_without_losing_or_reordering(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr("roadpulse.operators.speed._BROADCAST_ROWS", broadcast_rows)
     random = Random(5)
     rows = [
         {

@@ -1,3 +1,4 @@
+import json
 import time
 from datetime import timedelta
 
@@ -37,6 +38,9 @@ def test_files_are_loaded_once_as_they_arrive(spark, tmp_path):
     (folder / "detail_record_2017_02_02_00_00_00.csv").write_text(line % 2)
     assert drain(spark, tmp_path, max_bytes=1) == ["d1", "d2"]
     assert spark.read.parquet(str(tmp_path / "rejects")).count() == 1
+    loads = [p.name for p in (tmp_path / "table").glob("*/load_id=*")]
+    query_id = json.loads((tmp_path / "checkpoint" / "metadata").read_text())["id"]
+    assert sorted(loads) == [f"load_id={query_id}_0", f"load_id={query_id}_1"]
 
 
 def samples(spark):
