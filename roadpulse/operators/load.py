@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.operators.parse import parse_telemetry, report_counts, split_rejects, with_shard
 from roadpulse.schema import TELEMETRY_COLUMNS
-from roadpulse.session import prunable_times
+from roadpulse.session import prunable_times, written
 from roadpulse.sources.files import (
     admit_files,
     drop_seen_files,
@@ -18,9 +18,8 @@ from roadpulse.sources.files import (
     read_lines,
 )
 
-_FILE_LOG = "file_path string, file_name string, load_id string"
+_LOG = "file_name string, seen bigint, good bigint, rejected bigint, load_id string"
 _BROADCAST_BYTES = 64 * 1024 * 1024
-_REPORT_LOG = "seen bigint, good bigint, rejected bigint, load_id string"
 
 
 @dataclass(frozen=True)
@@ -97,22 +96,11 @@ def load_lines(
     return report
 
 
-def completed_files(spark: SparkSession, log: str) -> DataFrame:
-    """Files of completed loads; a load that never reported does not count."""
-    files = _read_log(spark, f"{log}/files", _FILE_LOG)
-    reports = _read_log(spark, f"{log}/reports", _REPORT_LOG)
-    return files.join(reports.select("load_id"), "load_id", "left_semi")
-
-
-def load_reports(spark: SparkSession, log: str) -> DataFrame:
-    return _read_log(spark, f"{log}/reports", _REPORT_LOG)
-
-
-def _read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A log table, created empty on first use."""
-    empty = spark.createDataFrame([], schema)
-    empty.write.mode("ignore").partitionBy("load_id").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+def load_log(spark: SparkSession, log: str) -> DataFrame:
+    """Files of completed loads, each with the counts of its load."""
+    empty = spark.createDataFrame([], _LOG)
+    empty.write.mode("ignore").partitionBy("load_id").parquet(log)
+    return spark.read.schema(_LOG).parquet(log)
 
 
 def load_folder(
@@ -127,19 +115,25 @@ def load_folder(
     """Load the admitted files of a folder that no earlier load has completed.
 
     The file list is written down first and the lines are matched to it, so files
-    that arrive meanwhile wait for the next load. The report is written last and
-    marks the load complete; until then a repeat under the same id starts over.
+    that arrive meanwhile wait for the next load. The log is written last; until
+    then a repeat under the same id starts over.
     """
     load_id = load_id or uuid.uuid4().hex
     admitted = admit_files(list_files(spark, folder)).filter("admitted")
-    fresh = drop_seen_files(admitted, completed_files(spark, log))
-    _replace_load(_first_of_each_name(fresh), f"{log}/files", load_id)
-    listed = _read_log(spark, f"{log}/files", _FILE_LOG).filter(F.col("load_id") == load_id)
-    lines = read_lines(spark, folder).join(_small_side(listed), "file_path", "left_semi")
+    fresh = drop_seen_files(admitted, load_log(spark, log))
+    listed = written(_first_of_each_name(fresh), "listed-files")
+    path_bytes = listed.agg(F.sum(F.octet_length("file_path"))).first()[0]
+    if path_bytes is None:
+        return LoadReport(load_id, seen=0, good=0, rejected=0)
+    # Beyond the bound the join shuffles; its keys are even, as no admitted file
+    # exceeds 100 MiB.
+    paths = listed.select("file_path")
+    paths = F.broadcast(paths) if path_bytes <= _BROADCAST_BYTES else paths
+    lines = read_lines(spark, folder).join(paths, "file_path", "left_semi")
     report = load_lines(lines, table, rejects, load_id, route)
-    counts = [(report.seen, report.good, report.rejected)]
-    done = spark.createDataFrame(counts, "seen bigint, good bigint, rejected bigint")
-    _replace_load(done, f"{log}/reports", load_id)
+    counts = {n: F.lit(getattr(report, n)).cast("bigint") for n in ("seen", "good", "rejected")}
+    done = listed.select("file_name").distinct().withColumns(counts)
+    _replace_load(done, log, load_id)
     return report
 
 
@@ -153,14 +147,3 @@ def _first_of_each_name(files: DataFrame) -> DataFrame:
         F.min_by("upload", F.struct("modified", "upload")).alias("upload")
     )
     return placed.join(first, ["file_name", "upload"], "left_semi").select("file_path", "file_name")
-
-
-def _small_side(files: DataFrame) -> DataFrame:
-    """File paths to match lines against, broadcast if their text is known to be small.
-
-    Beyond the bound the join shuffles; its keys are even, as no admitted file
-    exceeds 100 MiB.
-    """
-    paths = files.select("file_path")
-    total = paths.agg(F.sum(F.octet_length("file_path"))).first()[0] or 0
-    return F.broadcast(paths) if total <= _BROADCAST_BYTES else paths

@@ -20,7 +20,7 @@ from roadpulse.functions.display import (
 from roadpulse.functions.times import clock_label, moment, require_range
 from roadpulse.operators.filters import in_range, in_scan_order
 from roadpulse.schema import SPEED_INPUT
-from roadpulse.session import scratch_folder
+from roadpulse.session import written
 
 WINDOW_MINUTES = 3
 WINDOW_KEYS = ["driverID", "window_index"]
@@ -162,7 +162,8 @@ def window_lists(
     points = speed_points(df.select(*SPEED_INPUT))
     indexed = _in_windows(points, start, end, minutes)
     sizes = indexed.groupBy(*WINDOW_KEYS).agg(F.count("*").alias("n_window"))
-    large = _written(sizes.filter(F.col("n_window") > max_points).select(*WINDOW_KEYS))
+    crowded = sizes.filter(F.col("n_window") > max_points).select(*WINDOW_KEYS)
+    large = written(crowded, "crowded-windows")
     n_large = large.count()
     if n_large == 0:
         parted = indexed.withColumn("part", F.lit(0).cast("bigint"))
@@ -220,12 +221,6 @@ def _split_large(
     return joined.withColumn("part", F.coalesce(F.col("first_part") + dealt, F.lit(0)))
 
 
-def _written(df: DataFrame) -> DataFrame:
-    path = scratch_folder(df.sparkSession, "windows")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _unchanged(df: DataFrame) -> DataFrame:
     return df
 

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHARED_FOLDER = "spark.checkpoint.dir"
 _TIME_ENCODING = "spark.sql.parquet.outputTimestampType"
@@ -27,6 +27,15 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/roadpulse/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df``, computed once and read back from a new shared folder."""
+    spark = df.sparkSession
+    path = scratch_folder(spark, name)
+    with prunable_times(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def prunable_times(spark: SparkSession) -> Iterator[None]:
     """Write timestamps as 64-bit microseconds, whose footers a time filter can use.

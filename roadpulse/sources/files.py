@@ -45,14 +45,15 @@ def rejection(name: Column, size: Column) -> Column:
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """Files under ``folder``, recursively; contents are not read.
 
-    The part files of one upload share its ``file_name``.
+    The part files of one upload share its ``file_name``. ``file_path`` is spelled
+    as in :func:`read_lines`.
     """
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     )
     name = upload_name(F.col("path"))
     return listing.select(
-        F.col("path").alias("file_path"),
+        "_metadata.file_path",
         name.alias("file_name"),
         F.col("length").alias("file_size"),
         file_extension(name).alias("extension"),
