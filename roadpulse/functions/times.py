@@ -51,6 +51,12 @@ def shard_keys(start, end) -> list[str]:
     return [f"{m // 12:04d}_{m % 12 + 1:02d}" for m in months]
 
 
+def month_span(key: str) -> tuple[datetime, datetime]:
+    """First moment of the month ``YYYY_MM`` and of the month after it."""
+    first = datetime.strptime(key, "%Y_%m")
+    return first, (first + timedelta(days=31)).replace(day=1)
+
+
 def shard_names(start, end) -> list[str]:
     """Names of the month tables touched by the closed range, oldest first."""
     return [TABLE_PREFIX + key for key in shard_keys(start, end)]

@@ -133,14 +133,17 @@ def window_points(df: DataFrame, start, end, minutes: int = WINDOW_MINUTES) -> D
     """Drawable samples with their window, ordered by driver, window and time.
 
     The relational form of a window's label, speed and colour lists: no group is
-    ever gathered, so its size does not matter.
+    ever gathered, so its size does not matter. Only raw values are sorted; texts
+    are made afterwards.
     """
-    points = speed_points(df.select(*SPEED_INPUT))
-    indexed = _in_windows(points, start, end, minutes)
-    return in_scan_order(
-        indexed.select(*WINDOW_KEYS, "record_time", "label", "speed", "colour"),
-        "driverID",
+    indexed = _in_windows(df.select(*SPEED_INPUT), start, end, minutes)
+    ordered = in_scan_order(indexed, "driverID", "record_time")
+    return ordered.select(
+        *WINDOW_KEYS,
         "record_time",
+        clock_label(F.col("record_time")).alias("label"),
+        number_or_zero(F.col("speed")).alias("speed"),
+        point_colour(is_true(F.col("isOverspeed"))).alias("colour"),
     )
 
 
@@ -159,8 +162,7 @@ def window_lists(
     first, with one combined count, because the split needs a join that ordinary
     data should not pay for.
     """
-    points = speed_points(df.select(*SPEED_INPUT))
-    indexed = _in_windows(points, start, end, minutes)
+    indexed = _in_windows(df.select(*SPEED_INPUT), start, end, minutes)
     sizes = indexed.groupBy(*WINDOW_KEYS).agg(F.count("*").alias("n_window"))
     crowded = sizes.filter(F.col("n_window") > max_points).select(*WINDOW_KEYS)
     large = written(crowded, "crowded-windows")
@@ -170,17 +172,20 @@ def window_lists(
     else:
         fits = n_large * minutes * 60 <= _BROADCAST_ROWS
         parted = _split_large(indexed, large, max_points, F.broadcast if fits else _unchanged)
-    point = F.struct("record_time", "label", "speed", "colour")
-    return (
-        parted.groupBy(*WINDOW_KEYS, "part")
-        .agg(F.sort_array(F.collect_list(point)).alias("p"))
-        .select(
-            *WINDOW_KEYS,
-            "part",
-            F.col("p.label").alias("labels"),
-            F.col("p.speed").alias("speeds"),
-            F.col("p.colour").alias("colours"),
-        )
+    point = F.struct(
+        "record_time",
+        number_or_zero(F.col("speed")).alias("speed"),
+        is_true(F.col("isOverspeed")).alias("isOverspeed"),
+    )
+    gathered = parted.groupBy(*WINDOW_KEYS, "part").agg(
+        F.sort_array(F.collect_list(point)).alias("points")
+    )
+    return gathered.select(
+        *WINDOW_KEYS,
+        "part",
+        F.transform("points", lambda p: clock_label(p["record_time"])).alias("labels"),
+        F.col("points.speed").alias("speeds"),
+        F.transform("points", lambda p: point_colour(p["isOverspeed"])).alias("colours"),
     )
 
 

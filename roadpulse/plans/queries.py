@@ -336,7 +336,9 @@ def ingest_counts(spark, sf_dir):
 def _drop_folder(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_folder(spark, "uploads")
     lines = _lines(spark, sf_dir).withColumnRenamed("file_name", "upload")
-    lines.write.partitionBy("upload").text(path)
+    # Few part files, each far below the size an upload may have.
+    gathered = lines.hint("rebalance", "upload").write.option("maxRecordsPerFile", 500_000)
+    gathered.partitionBy("upload").text(path)
     return path
 
 

@@ -1,4 +1,6 @@
 import sys
+from datetime import datetime
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,3 +113,50 @@ def test_shard_routes(spark):
     assert with_shard(parsed, route="record_time").first()["shard"] == "2017_02"
     with pytest.raises(ValueError):
         with_shard(parsed, route="size")
+
+
+TEXTS = ["", "0", "1", "12", "-3", "+4", "6x", "1.5", " 7 ", ".", "1e3", "abc", "2017-01-01 08:00:00"]
+
+
+def expected(line):
+    """What one line should give, told field by field with Python's own conversions."""
+    parts = line.strip().split(",")
+    values, failed = [], []
+    for position, field in enumerate(TELEMETRY_SCHEMA.fields):
+        text = parts[position] if position < len(parts) else None
+        kind = field.dataType.typeName()
+        value = text if kind == "string" else None
+        if position > 1 and text == "":
+            text = value = None
+        if text is not None and kind != "string":
+            convert = {"double": float, "timestamp": datetime.fromisoformat}.get(kind, int)
+            try:
+                value = convert(text)
+            except ValueError:
+                failed.append(field.name)
+        if kind == "boolean":
+            value = bool(value)
+        if field.name in ("neutralSlideTime", "overspeedTime"):
+            value = value or 0
+        values.append(value)
+    return failed, tuple(values)
+
+
+def test_random_lines_equal_a_field_by_field_model(spark):
+    random = Random(11)
+    made = []
+    for _ in range(3000):
+        fields = [random.choice(TEXTS) if random.random() < 0.2 else "" for _ in range(22)]
+        if random.random() < 0.8:
+            fields[7] = random.choice(["2017-01-01 08:00:00", "2017-01-01", ""])
+        made.append(",".join(fields[: random.randint(1, 22)]))
+    made = [m for m in made if m.strip()]
+    parsed = parse_telemetry(lines(spark, *made)).collect()
+    names = TELEMETRY_SCHEMA.fieldNames()
+    got = {row["line"]: (row["reject_reasons"], tuple(row[n] for n in names)) for row in parsed}
+    for line in made:
+        failed, values = expected(line)
+        reasons, stored = got[line.strip()]
+        assert reasons == failed
+        if not failed:
+            assert stored == values

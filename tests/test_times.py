@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions.times import (
     default_range,
+    month_span,
     normalize_ts,
     parse_bound,
     shard_keys,
@@ -70,3 +71,8 @@ def test_bad_bounds_are_value_errors(bad):
 
 def test_default_range_is_the_last_week():
     assert default_range(datetime(2017, 1, 8, 10, 30, 59)) == ("2017-01-01T10:30", "2017-01-08T10:30")
+
+
+def test_month_span():
+    assert month_span("2016_12") == (datetime(2016, 12, 1), datetime(2017, 1, 1))
+    assert month_span("2017_02") == (datetime(2017, 2, 1), datetime(2017, 3, 1))
