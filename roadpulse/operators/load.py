@@ -116,11 +116,17 @@ def load_folder(
 
     The file list is written down first and the lines are matched to it, so files
     that arrive meanwhile wait for the next load. The log is written last; until
-    then a repeat under the same id starts over.
+    then a repeat under the same id starts over, and afterwards it only returns the
+    report of the completed load.
     """
+    seen = load_log(spark, log)
+    if load_id is not None:
+        done = seen.filter(F.col("load_id") == load_id).select("seen", "good", "rejected").head()
+        if done is not None:
+            return LoadReport(load_id, **done.asDict())
     load_id = load_id or uuid.uuid4().hex
     admitted = admit_files(list_files(spark, folder)).filter("admitted")
-    fresh = drop_seen_files(admitted, load_log(spark, log))
+    fresh = drop_seen_files(admitted, seen)
     listed = written(_first_of_each_name(fresh), "listed-files")
     path_bytes = listed.agg(F.sum(F.octet_length("file_path"))).first()[0]
     if path_bytes is None:

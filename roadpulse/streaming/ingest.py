@@ -21,8 +21,8 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Load admitted files of ``folder`` into the month table, and keep watching it.
 
-    The checkpoint remembers which files were taken, so a name lands once. With
-    ``trigger`` None the query drains what is there and stops; ``max_bytes`` cuts a
+    The checkpoint remembers which files were taken, so a path is loaded once, even
+    if it is written again. With ``trigger`` None the query drains what is there and stops; ``max_bytes`` cuts a
     large backlog into several loads. A batch that is repeated after a failure has
     the same load id and replaces its own earlier output.
     """

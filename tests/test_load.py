@@ -74,7 +74,11 @@ def test_unfinished_load_is_repeated_without_duplicates(spark, place, monkeypatc
         load(spark, place, load_id="one")
     monkeypatch.setattr(module, "_replace_load", real)
     assert load(spark, place, load_id="one").good == 1
+    (place / "in" / (NAME % 3)).write_text(GOOD % 2)
+    assert load(spark, place, load_id="one").seen == 1
     assert stored(spark, place) == ["d1"]
+    load(spark, place, load_id="two")
+    assert stored(spark, place) == ["d1", "d2"]
 
 
 def test_same_name_in_two_folders_is_one_file(spark, place):
