@@ -23,6 +23,8 @@ from roadpulse.schema import SPEED_INPUT
 from roadpulse.session import written
 
 WINDOW_MINUTES = 3
+# Fixed value: how times are written in JSON (they are UTC by convention).
+JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 WINDOW_KEYS = ["driverID", "window_index"]
 # Upper bound of the rows (about 60 bytes each) a window split may broadcast.
 _BROADCAST_ROWS = 500_000
@@ -35,7 +37,8 @@ def speed_series(df: DataFrame) -> DataFrame:
 
 def speed_series_json(df: DataFrame) -> DataFrame:
     """One JSON object per sample, ascending by time; NULL fields are left out."""
-    sample = F.to_json(F.struct("record_time", "speed", "isOverspeed"))
+    fields = F.struct("record_time", "speed", "isOverspeed")
+    sample = F.to_json(fields, {"timestampFormat": JSON_TIME})
     return speed_series(df).select(sample.alias("json"))
 
 

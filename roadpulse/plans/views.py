@@ -59,8 +59,7 @@ _EVENT_RECORD = {
 
 # An order's date moved to a second of the day that depends on its key.
 ORDER_TIME = (
-    "timestamp_micros(unix_micros(cast(o_orderdate AS timestamp))"
-    " + o_orderkey * 7919 % 86400 * 1000000)"
+    "cast(o_orderdate + make_dt_interval(0, 0, 0, o_orderkey * 7919 % 86400) AS timestamp)"
 )
 
 _ORDER_RECORD = {
