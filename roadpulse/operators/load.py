@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.operators.parse import parse_telemetry, report_counts, split_rejects, with_shard
+from roadpulse.operators.parse import is_good, parse_telemetry, with_shard
 from roadpulse.schema import TELEMETRY_COLUMNS
 from roadpulse.session import prunable_times, written
 from roadpulse.sources.files import (
@@ -17,8 +18,13 @@ from roadpulse.sources.files import (
     list_files,
     read_lines,
 )
+from roadpulse.sources.table import is_not_found
 
 _LOG = "file_name string, seen bigint, good bigint, rejected bigint, load_id string"
+_REJECT_COLUMNS = ["file_name", "line", "reject_reasons"]
+_REJECTS = (
+    "file_name string, line string, reject_reasons array<string>, shard string, load_id string"
+)
 _BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -42,10 +48,16 @@ def _replace_load(df: DataFrame, path: str, load_id: str, *partitions: str) -> N
     )
 
 
+def _store(df: DataFrame, path: str, load_id: str, *partitions: str) -> None:
+    ordered = df.sortWithinPartitions(*partitions, "driverID", "record_time")
+    with prunable_times(df.sparkSession):
+        _replace_load(ordered, path, load_id, *partitions)
+
+
 def append_telemetry(
     df: DataFrame, path: str, load_id: str | None = None, gather: bool = False
 ) -> str:
-    """Append records (with ``shard``) to the month table; returns the load's id.
+    """Append records (with ``shard``) to a month table; returns the load's id.
 
     A load owns its ``shard=…/load_id=…`` folders: running it again under the same
     id replaces them, so a failed or repeated load neither loses nor doubles rows.
@@ -58,42 +70,52 @@ def append_telemetry(
     """
     load_id = load_id or uuid.uuid4().hex
     stored = df.select(*TELEMETRY_COLUMNS, "shard")
-    if gather:
-        stored = stored.hint("rebalance", "shard")
-    stored = stored.sortWithinPartitions("shard", "driverID", "record_time")
-    with prunable_times(df.sparkSession):
-        _replace_load(stored, path, load_id, "shard")
+    _store(stored.hint("rebalance", "shard") if gather else stored, path, load_id, "shard")
     return load_id
 
 
+def table_path(store: str) -> str:
+    """The month table inside a store written by loads."""
+    return f"{store}/outcome=good"
+
+
+def read_rejects(spark: SparkSession, store: str) -> DataFrame:
+    """Rejected lines of all loads, with the file and the reasons."""
+    try:
+        return spark.read.schema(_REJECTS).parquet(f"{store}/outcome=rejected")
+    except AnalysisException as error:
+        if not is_not_found(error):
+            raise
+        return spark.createDataFrame([], _REJECTS)
+
+
 def load_lines(
-    lines: DataFrame,
-    table: str,
-    rejects: str,
-    load_id: str | None = None,
-    route: str = "file_name",
+    lines: DataFrame, store: str, load_id: str | None = None, route: str = "file_name"
 ) -> LoadReport:
-    """Parse lines, store the good records and, if there are any, the rejects.
+    """Parse lines and write good records and rejects in one pass over the input.
 
-    Lines are counted while one of the two is written, always by the one without a
-    shuffle after the parse: there every line is counted by exactly one successful
-    task, whatever executors are lost. Routed by file name that is the good
-    records, so clean input is read once; routed by time it is the rejects.
+    One job writes both below ``store``, as ``outcome=good`` (the month table) and
+    ``outcome=rejected``, and counts the rows as it writes them: after any shuffle,
+    so that every line is counted by exactly one successful task, whatever
+    executors are lost.
     """
     load_id = load_id or uuid.uuid4().hex
+    parsed = with_shard(parse_telemetry(lines), route)
+    kept_if_bad = [F.when(~is_good(), F.col(c)).alias(c) for c in _REJECT_COLUMNS]
+    outcome = F.when(is_good(), "good").otherwise("rejected").alias("outcome")
+    rows = parsed.select(*TELEMETRY_COLUMNS, *kept_if_bad, outcome, "shard")
+    if route == "record_time":
+        rows = rows.hint("rebalance", "outcome", "shard")
+    good = F.col("outcome") == "good"
     counts = Observation(f"load {load_id} {uuid.uuid4().hex}")
-    parsed = parse_telemetry(lines)
-    counted = parsed.observe(counts, *report_counts())
-    by_time = route == "record_time"
-    good, _ = split_rejects(parsed if by_time else counted)
-    _, bad = split_rejects(counted if by_time else parsed)
-    if by_time:
-        _replace_load(bad, rejects, load_id)
-    append_telemetry(with_shard(good, route), table, load_id, gather=by_time)
-    report = LoadReport(load_id=load_id, **counts.get)
-    if report.rejected and not by_time:
-        _replace_load(bad, rejects, load_id)
-    return report
+    counted = rows.observe(
+        counts,
+        F.count("*").alias("seen"),
+        F.count_if(good).alias("good"),
+        F.count_if(~good).alias("rejected"),
+    )
+    _store(counted, store, load_id, "outcome", "shard")
+    return LoadReport(load_id=load_id, **counts.get)
 
 
 def load_log(spark: SparkSession, log: str) -> DataFrame:
@@ -106,8 +128,7 @@ def load_log(spark: SparkSession, log: str) -> DataFrame:
 def load_folder(
     spark: SparkSession,
     folder: str,
-    table: str,
-    rejects: str,
+    store: str,
     log: str,
     load_id: str | None = None,
     route: str = "file_name",
@@ -136,7 +157,7 @@ def load_folder(
     paths = listed.select("file_path")
     paths = F.broadcast(paths) if path_bytes <= _BROADCAST_BYTES else paths
     lines = read_lines(spark, folder).join(paths, "file_path", "left_semi")
-    report = load_lines(lines, table, rejects, load_id, route)
+    report = load_lines(lines, store, load_id, route)
     counts = {n: F.lit(getattr(report, n)).cast("bigint") for n in ("seen", "good", "rejected")}
     done = listed.select("file_name").distinct().withColumns(counts)
     _replace_load(done, log, load_id)

@@ -124,17 +124,13 @@ def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, parsed.filter(~is_good()).drop(*TELEMETRY_COLUMNS)
 
 
-def report_counts() -> list[Column]:
-    return [
+def ingest_report(parsed: DataFrame) -> DataFrame:
+    """One row: lines seen, good and rejected."""
+    return parsed.agg(
         F.count("*").alias("seen"),
         F.count_if(is_good()).alias("good"),
         F.count_if(~is_good()).alias("rejected"),
-    ]
-
-
-def ingest_report(parsed: DataFrame) -> DataFrame:
-    """One row: lines seen, good and rejected."""
-    return parsed.agg(*report_counts())
+    )
 
 
 def with_shard(df: DataFrame, route: str = "file_name") -> DataFrame:

@@ -16,7 +16,7 @@ from roadpulse.operators.behavior import (
     summary_json,
 )
 from roadpulse.operators.filters import for_driver, in_range
-from roadpulse.operators.load import append_telemetry, load_folder
+from roadpulse.operators.load import append_telemetry, load_folder, table_path
 from roadpulse.operators.parse import (
     ingest_report,
     parse_telemetry,
@@ -345,17 +345,15 @@ def _drop_folder(spark: SparkSession, sf_dir: str) -> str:
 def folder_load(spark, sf_dir):
     """Upload files -> month table -> read back."""
     uploads, out = _drop_folder(spark, sf_dir), scratch_folder(spark, "load")
-    load_folder(spark, uploads, f"{out}/table", f"{out}/rejects", f"{out}/log")
-    return naive_times(read_telemetry(spark, f"{out}/table", *WHOLE))
+    load_folder(spark, uploads, f"{out}/store", f"{out}/log")
+    return naive_times(read_telemetry(spark, table_path(f"{out}/store"), *WHOLE))
 
 
 def stream_ingest(spark, sf_dir):
     """Upload files -> streaming load -> month table -> read back."""
     uploads, out = _drop_folder(spark, sf_dir), scratch_folder(spark, "stream")
-    ingest_stream(
-        spark, uploads, f"{out}/table", f"{out}/rejects", f"{out}/checkpoint"
-    ).awaitTermination()
-    return naive_times(read_telemetry(spark, f"{out}/table", *WHOLE))
+    ingest_stream(spark, uploads, f"{out}/store", f"{out}/checkpoint").awaitTermination()
+    return naive_times(read_telemetry(spark, table_path(f"{out}/store"), *WHOLE))
 
 
 def stream_speed_windows(spark, sf_dir):

@@ -12,14 +12,13 @@ from roadpulse.sources.files import admitted_lines, read_lines
 def ingest_stream(
     spark: SparkSession,
     folder: str,
-    table: str,
-    rejects: str,
+    store: str,
     checkpoint: str,
     trigger: str | None = None,
     max_bytes: int | None = None,
     route: str = "file_name",
 ) -> StreamingQuery:
-    """Load admitted files of ``folder`` into the month table, and keep watching it.
+    """Load admitted files of ``folder`` into the store, and keep watching it.
 
     The checkpoint remembers which files were taken, so a path is loaded once, even
     if it is written again. With ``trigger`` None the query drains what is there and stops; ``max_bytes`` cuts a
@@ -29,7 +28,7 @@ def ingest_stream(
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        load_lines(batch, table, rejects, f"{query_id}_{batch_id}", route)
+        load_lines(batch, store, f"{query_id}_{batch_id}", route)
 
     lines = admitted_lines(read_lines(spark, folder, streaming=True, max_bytes=max_bytes))
     writer = lines.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)

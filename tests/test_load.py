@@ -4,7 +4,13 @@ import pyarrow.parquet as pq
 import pytest
 from records import at, records, tuples
 
-from roadpulse.operators.load import append_telemetry, load_folder, load_log
+from roadpulse.operators.load import (
+    append_telemetry,
+    load_folder,
+    load_log,
+    read_rejects,
+    table_path,
+)
 from roadpulse.session import scratch_folder
 from roadpulse.sources.table import read_shards, read_telemetry, union_shards
 
@@ -21,12 +27,13 @@ def place(tmp_path):
 
 
 def load(spark, place, **options):
-    names = [str(place / n) for n in ("in", "table", "rejects", "log")]
+    names = [str(place / n) for n in ("in", "store", "log")]
     return load_folder(spark, *names, **options)
 
 
-def stored(spark, place):
-    return sorted(r["driverID"] for r in read_telemetry(spark, str(place / "table"), *SPAN).collect())
+def stored(spark, place, span=SPAN):
+    found = read_telemetry(spark, table_path(str(place / "store")), *span)
+    return sorted(r["driverID"] for r in found.collect())
 
 
 def test_only_new_admitted_files_are_loaded(spark, place):
@@ -42,8 +49,8 @@ def test_only_new_admitted_files_are_loaded(spark, place):
     assert stored(spark, place) == ["d1", "d2"]
     logged = load_log(spark, str(place / "log")).drop("load_id")
     assert sorted(tuples(logged)) == [(NAME % 2, 2, 1, 1), (NAME % 3, 1, 1, 0)]
-    rejected = spark.read.parquet(str(place / "rejects")).collect()
-    assert [(r["line"], r["reject_reasons"]) for r in rejected] == [("d9,P,bad", ["latitude"])]
+    rejected = read_rejects(spark, str(place / "store")).drop("load_id").collect()
+    assert [tuple(r) for r in rejected] == [(NAME % 2, "d9,P,bad", ["latitude"], "2017_01")]
 
 
 def test_route_by_record_time(spark, place):
@@ -53,9 +60,8 @@ def test_route_by_record_time(spark, place):
     report = load(spark, place, route="record_time")
     assert (report.seen, report.good, report.rejected) == (3, 2, 1)
     assert stored(spark, place) == ["d1"]
-    later = read_telemetry(spark, str(place / "table"), "2017-02-01", "2017-02-28")
-    assert [r["driverID"] for r in later.collect()] == ["d2"]
-    assert spark.read.parquet(str(place / "rejects")).count() == 1
+    assert stored(spark, place, ("2017-02-01", "2017-02-28")) == ["d2"]
+    assert read_rejects(spark, str(place / "store")).count() == 1
 
 
 def test_unfinished_load_is_repeated_without_duplicates(spark, place, monkeypatch):
@@ -86,10 +92,11 @@ def test_same_name_in_two_folders_is_one_file(spark, place):
         (place / "in" / folder).mkdir()
         (place / "in" / folder / (NAME % 2)).write_text(GOOD % 1)
     assert load(spark, place).seen == 1
+    assert read_rejects(spark, str(place / "store")).count() == 0
 
 
 def test_failing_write_leaves_no_rows(spark, place):
-    path = str(place / "table")
+    path = table_path(str(place / "store"))
     fine = records(spark, {"driverID": "a", "record_time": at("2017-01-05 00:00")})
     append_telemetry(fine.selectExpr("*", "'2017_01' AS shard"), path)
     broken = fine.selectExpr("*", "cast(raise_error('stop') AS string) AS shard")

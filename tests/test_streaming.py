@@ -4,6 +4,7 @@ from datetime import timedelta
 
 from records import at, records, tuples
 
+from roadpulse.operators.load import read_rejects, table_path
 from roadpulse.operators.speed import speed_windows
 from roadpulse.schema import SPEED_INPUT
 from roadpulse.sources.table import read_telemetry
@@ -20,9 +21,12 @@ START = "2017-01-01T00:00"
 
 
 def drain(spark, place, **options):
-    names = [str(place / n) for n in ("in", "table", "rejects", "checkpoint")]
+    names = [str(place / n) for n in ("in", "store", "checkpoint")]
     ingest_stream(spark, *names, **options).awaitTermination()
-    return sorted(r["driverID"] for r in read_telemetry(spark, str(place / "table"), *SPAN).collect())
+    return sorted(
+        r["driverID"]
+        for r in read_telemetry(spark, table_path(str(place / "store")), *SPAN).collect()
+    )
 
 
 def test_files_are_loaded_once_as_they_arrive(spark, tmp_path):
@@ -37,8 +41,8 @@ def test_files_are_loaded_once_as_they_arrive(spark, tmp_path):
     first.write_text(line % 5)
     (folder / "detail_record_2017_02_02_00_00_00.csv").write_text(line % 2)
     assert drain(spark, tmp_path, max_bytes=1) == ["d1", "d2"]
-    assert spark.read.parquet(str(tmp_path / "rejects")).count() == 1
-    loads = [p.name for p in (tmp_path / "table").glob("*/load_id=*")]
+    assert read_rejects(spark, str(tmp_path / "store")).count() == 1
+    loads = [p.name for p in (tmp_path / "store" / "outcome=good").glob("*/load_id=*")]
     query_id = json.loads((tmp_path / "checkpoint" / "metadata").read_text())["id"]
     assert sorted(loads) == [f"load_id={query_id}_0", f"load_id={query_id}_1"]
 
