@@ -286,32 +286,37 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# What is put in the place of which field, by kind of defect.
+_DAMAGE = {
+    1: (2, "22.5d"),
+    2: (4, "6x"),
+    3: (7, "not-a-time"),
+    6: (15, "99999999999"),
+    8: (7, "2024"),
+    9: (3, "nan"),
+}
+
+
 def _damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as upload lines, with a defect chosen by direction."""
     records = _events(spark, sf_dir)
-    line = upload_line(records)
-    kind = F.col("direction") % 11
-    fields = F.split(line, ",")
-
-    def damaged(position: int, text: str) -> Column:
-        kept = F.transform(fields, lambda x, i: F.when(i == position, text).otherwise(x))
-        return F.array_join(kept, ",")
-
-    value = (
-        F.when(kind == 1, damaged(2, "22.5d"))
-        .when(kind == 2, damaged(4, "6x"))
-        .when(kind == 3, damaged(7, "not-a-time"))
-        .when(kind == 4, F.lit("  \t"))
-        .when(kind == 5, F.col("driverID"))
-        .when(kind == 6, damaged(15, "99999999999"))
-        .when(kind == 7, F.concat(F.lit("  "), line, F.lit(",EXTRA,MORE ")))
-        .when(kind == 8, damaged(7, "2024"))
-        .when(kind == 9, damaged(3, "nan"))
-        .otherwise(line)
-    )
-    return records.select(
-        value.alias("value"), _upload_name_of_day(F.col("record_time")).alias("file_name")
+    lines = records.select(
+        "driverID",
+        upload_line(records).alias("line"),
+        (F.col("direction") % 11).alias("kind"),
+        _upload_name_of_day(F.col("record_time")).alias("file_name"),
     )
+    positions = " ".join(f"WHEN {kind} THEN {at}" for kind, (at, _) in _DAMAGE.items())
+    texts = " ".join(f"WHEN {kind} THEN '{text}'" for kind, (_, text) in _DAMAGE.items())
+    value = f"""CASE
+        WHEN kind = 4 THEN '  \t'
+        WHEN kind = 5 THEN driverID
+        WHEN kind = 7 THEN '  ' || line || ',EXTRA,MORE '
+        WHEN kind IN ({', '.join(map(str, _DAMAGE))}) THEN array_join(transform(
+            split(line, ','),
+            (x, i) -> if(i = CASE kind {positions} END, CASE kind {texts} END, x)), ',')
+        ELSE line END AS value"""
+    return lines.selectExpr(value, "file_name")
 
 
 def ingest_parse(spark, sf_dir):
