@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,41 +10,60 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _SHARED_FOLDER = "spark.checkpoint.dir"
-_TIME_ENCODING = "spark.sql.parquet.outputTimestampType"
+_WAREHOUSE = "spark.sql.warehouse.dir"
+TIME_ENCODING = "spark.sql.parquet.outputTimestampType"
+
+
+def _application_folder(spark: SparkSession) -> str:
+    base = spark.conf.get(_SHARED_FOLDER, None) or spark.conf.get(_WAREHOUSE)
+    return f"{base.rstrip('/')}/roadpulse/{spark.sparkContext.applicationId}"
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder path for written intermediates, on storage every executor sees.
 
-    It lies under the folder the session names in ``spark.checkpoint.dir``. Only a
-    local session without that setting falls back to this machine's own folder.
+    It lies under the folder the session names in ``spark.checkpoint.dir``, or else in
+    its warehouse. ``clear_scratch`` removes all of them; so does the driver's end.
+    """
+    folder = _application_folder(spark)
+    if folder not in _registered:
+        _registered.add(folder)
+        atexit.register(clear_scratch, spark)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+_registered: set[str] = set()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every written intermediate of this application.
+
+    Results that were not yet computed or stored still need theirs.
     """
-    base = spark.conf.get(_SHARED_FOLDER, None)
-    if base is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(f"set {_SHARED_FOLDER} to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="roadpulse-")
-    return f"{base.rstrip('/')}/roadpulse/{name}-{uuid.uuid4().hex}"
+    if spark.sparkContext._jsc is not None:
+        remove_folder(spark, _application_folder(spark))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df``, computed once and read back from a new shared folder."""
     spark = df.sparkSession
     path = scratch_folder(spark, name)
-    with prunable_times(spark):
-        df.write.parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def prunable_times(spark: SparkSession) -> Iterator[None]:
-    """Write timestamps as 64-bit microseconds, whose footers a time filter can use.
-
-    Spark's default 96-bit form carries no usable minimum and maximum.
-    """
-    before = spark.conf.get(_TIME_ENCODING)
-    spark.conf.set(_TIME_ENCODING, "TIMESTAMP_MICROS")
+    """Write timestamps as 64-bit microseconds, whose footers a time filter can use."""
+    before = spark.conf.get(TIME_ENCODING)
+    spark.conf.set(TIME_ENCODING, "TIMESTAMP_MICROS")
     try:
         yield
     finally:
-        spark.conf.set(_TIME_ENCODING, before)
+        spark.conf.set(TIME_ENCODING, before)
