@@ -82,10 +82,10 @@ _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefg
 
 _WINDOWS = r"""
 with words as (
-    select doc_id, doc_id as d, list_filter(string_split_regex({lowered}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') as w
+    select doc_id, doc_id as d, list_filter(string_split_regex({lowered}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
     from documents
 ), items as (
-    select cast(item_id as varchar) as item, list_filter(string_split_regex({lowered}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') as w
+    select cast(item_id as varchar) as item, list_filter(string_split_regex({lowered}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
     from benchmark
 ), windows as (
     select distinct item, least(len(w), 10) as k,
