@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm.common import map_texts, unit_hash
 
-PIECE = 2048
+PIECE = 256
 DICTIONARY = 64 * 1024
-LEVEL = 6
+LEVEL = 3
 
 
 @dataclass(frozen=True)
@@ -60,7 +60,7 @@ def _dictionary(texts: list[bytes]) -> bytes:
         return (b"\n".join(texts)[-DICTIONARY:]).rjust(8, b" ")
 
 
-def _spread_pieces(texts: list[bytes | None], most: int = 16) -> list[bytes]:
+def _spread_pieces(texts: list[bytes | None], most: int = 64) -> list[bytes]:
     """At most ``most`` pieces of each text, evenly spaced over all of it."""
     found = []
     for text in texts:
@@ -92,7 +92,7 @@ def train_quality_model(
     """Fit on labelled rows: ``docs(doc_id, text)`` with ``labels(doc_id, quality)``.
 
     The sample is drawn by a hash of doc_id: about ``rows_by_label`` rows with quality 1 and as many with
-    quality 0, of which at most 16 evenly spaced pieces of 2 KB build a
+    quality 0, of which at most 64 evenly spaced pieces build a
     dictionary. A quarter of the sample is kept out of the dictionaries and measured as
     whole texts: on it the logistic is fitted, weighted back to the labels' own shares.
     If a label has no rows every text scores the share of label 1 (0.5 without labels).

@@ -11,6 +11,13 @@ from roadpulse.llm.exact import exact_groups
 from roadpulse.llm.language import identify, train_language_model
 from roadpulse.llm.mixing import mix_sources
 from roadpulse.llm.quality import score_quality, train_quality_model
+from roadpulse.llm.secrets import (
+    KINDS,
+    find_secrets,
+    joined_spans,
+    labelled_tokens,
+    train_secret_model,
+)
 from roadpulse.llm.sharding import shard_documents
 from roadpulse.llm.simhash import near_groups
 
@@ -42,6 +49,26 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = train_secret_model(labelled_tokens(docs))
+    # Where the list of spans of a text without secrets is empty, so is every column.
+    spans = find_secrets(docs, model)
+
+    def of_kind(kind: str):
+        return F.filter("spans", lambda s: s["kind"] == KINDS.index(kind))
+
+    def number(kind: str):
+        return F.size(of_kind(kind)).cast("bigint").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != KINDS.index("random"))
+    return spans.select(
+        "doc_id", number("assign"), number("access"), number("hex"), number("random"),
+        F.sha2(joined_spans(base), 256).alias("base_sha256"),
+        joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     digits = F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint")
     return near_groups(_table(spark, sf_dir, "documents")).select("doc_id", digits, "component_id")
@@ -75,7 +102,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_language, op2_quality, op4_simhash, op5_sharding, op7_exact, op8_decontamination, op10_mixing)
+    for f in (op1_language, op2_quality, op3_secrets, op4_simhash, op5_sharding, op7_exact, op8_decontamination, op10_mixing)
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
