@@ -9,6 +9,7 @@ from roadpulse.llm.common import id_remainder
 from roadpulse.llm.decontaminate import find_contamination
 from roadpulse.llm.exact import exact_groups
 from roadpulse.llm.language import identify, train_language_model
+from roadpulse.llm.lm import lm_scores
 from roadpulse.llm.mixing import mix_sources
 from roadpulse.llm.quality import score_quality, train_quality_model
 from roadpulse.llm.secrets import (
@@ -78,6 +79,14 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"), 40)
 
 
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores, model = lm_scores(_table(spark, sf_dir, "documents"), ~_held_out(10, 0))
+    return scores.select(
+        "doc_id", F.coalesce(_held_out(10, 0), F.lit(False)).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score",
+    )
+
+
 def op7_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -102,7 +111,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_language, op2_quality, op3_secrets, op4_simhash, op5_sharding, op7_exact, op8_decontamination, op10_mixing)
+    for f in (op1_language, op2_quality, op3_secrets, op4_simhash, op5_sharding, op6_lm, op7_exact, op8_decontamination, op10_mixing)
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -13,7 +13,7 @@ _TWO_64 = "18446744073709551616"
 _TWO_33 = "8589934592"
 _TWO_31 = float(1 << 31)
 # Most rows of the table of part sizes that is broadcast.
-_PARTS = 1 << 16
+_PARTS = 1 << 14
 _STEPS = 12
 
 
