@@ -12,6 +12,7 @@ from roadpulse.llm.language import identify, train_language_model
 from roadpulse.llm.lm import lm_scores
 from roadpulse.llm.mixing import mix_sources
 from roadpulse.llm.quality import score_quality, train_quality_model
+from roadpulse.llm.repeats import repeated_passages
 from roadpulse.llm.secrets import (
     KINDS,
     find_secrets,
@@ -103,6 +104,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -111,7 +118,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_language, op2_quality, op3_secrets, op4_simhash, op5_sharding, op6_lm, op7_exact, op8_decontamination, op10_mixing)
+    for f in (op1_language, op2_quality, op3_secrets, op4_simhash, op5_sharding, op6_lm, op7_exact, op8_decontamination, op9_repeats, op10_mixing)
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
