@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.llm.common import byte_runs
+from roadpulse.session import written
 
 LENGTH = 100
-_GRAM = 32
+_GRAM = 16
 BLOCK_BYTES = 24_000_000
 _ROOM = 1 << 20  # positions hashed at a time
 _PLACE_BITS = np.uint64(20)
@@ -66,11 +67,13 @@ def _least_places(grams: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchored_runs(texts: list[bytes | None], hasher: Hasher, length: int = LENGTH):
-    """Runs of window starts that share an anchor: text, start, number, anchor hash, region hash.
+    """Runs of window starts that share an anchor: text, place, anchor hash, region hash, sides.
 
     The anchor of a window of ``length`` bytes is its gram of least hash, so equal windows have
     equal anchors at equal places, wherever they stand. A run's region is all that its windows
-    cover. Yields arrays for some texts at a time.
+    cover. ``place`` packs start, distance to the anchor and number of windows; ``sides`` packs short hashes
+    of the bytes left and right of the anchor, 0 where the text ends. Yields arrays for some
+    texts at a time.
     """
     waiting: list[tuple[int, int, bytes]] = []
     held = 0
@@ -106,32 +109,49 @@ def _runs(waiting, hasher: Hasher, length: int):
     shift = (anchor - low).astype(np.uint64) * np.uint64(_BASES[1])
     region = _mixed(hasher.parts(sums, low, low + number + length - 1) ^ shift)
     texts, offsets = (np.array([w[k] for w in waiting]) for k in (0, 1))
+    side = (length - _GRAM) // 2
+    left, right = np.maximum(anchor - side, 0), np.minimum(anchor + _GRAM + side, len(joined))
+    sides = [
+        np.where(there, hasher.parts(sums, a, b) % np.uint64(65535) + np.uint64(1), 0).astype(np.int64)
+        for there, a, b in (
+            (anchor - side >= begins[who], left, anchor),
+            (anchor + _GRAM + side <= (begins + sizes)[who], anchor + _GRAM, right),
+        )
+    ]
+    start = low - begins[who] + offsets[who]
     return (
-        texts[who], low - begins[who] + offsets[who], number,
+        texts[who], start << 14 | (anchor - low) << 7 | number,
         hasher.parts(sums, anchor, anchor + _GRAM).view(np.int64), region.view(np.int64),
+        (sides[0] << 16 | sides[1]).astype(np.uint32).view(np.int32),
     )
 
 
+_SEEN = (
+    "anchor bigint, region bigint, id bigint, tie bigint, place bigint, sides int,"
+    " more array<struct<id:bigint,tie:bigint,place:bigint>>"
+)
+
+
 def _run_rows(length: int):
-    """Arrow map from (doc_id, tie, text) to distinct regions with where a task saw them."""
+    """Arrow map from (id, tie, text) to distinct regions with where a task saw them."""
 
     def emit(found) -> pa.RecordBatch:
-        ids, ties, start, number, anchor, region = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((start, ties, ids, region, anchor))
-        new = np.flatnonzero(
-            np.diff(anchor[order], prepend=~anchor[order][:1]).astype(bool)
-            | np.diff(region[order], prepend=~region[order][:1]).astype(bool)
+        ids, ties, place, anchor, region, sides = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((place, ties, ids, region, anchor))
+        new = np.append(True, np.diff(anchor[order]).astype(bool) | np.diff(region[order]).astype(bool))
+        head, rest = order[new], order[~new]
+        # Of most regions a task sees one; the others of a region follow its first.
+        after = np.cumsum(~new)[np.append(np.flatnonzero(new)[1:] - 1, len(order) - 1)]
+        empty = np.diff(after, prepend=0) == 0
+        more = pa.ListArray.from_arrays(
+            pa.array(np.append(0, after).astype(np.int32), mask=np.append(empty, False)),
+            pa.StructArray.from_arrays(
+                [pa.array(x[rest]) for x in (ids, ties, place)], ["id", "tie", "place"]
+            ),
         )
-        offsets = pa.array(np.append(new, len(order)).astype(np.int32))
-        head = order[new]
-
-        def lists(values):
-            return pa.ListArray.from_arrays(offsets, pa.array(values[order]))
-
+        columns = [pa.array(x[head]) for x in (anchor, region, ids, ties, place, sides)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(anchor[head]), pa.array(region[head]), pa.array(number[head].astype(np.int32)),
-             lists(ids), lists(ties), lists(start.astype(np.int32))],
-            names=["anchor", "region", "n", "ids", "ties", "starts"],
+            [*columns, more], names=["anchor", "region", "id", "tie", "place", "sides", "more"]
         )
 
     def run(batches):
@@ -140,8 +160,8 @@ def _run_rows(length: int):
             ids, ties = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             texts = batch.column(2).cast(pa.binary())
             for a, b in byte_runs(texts):
-                for who, start, number, anchor, region in anchored_runs(texts[a:b].to_pylist(), hasher, length):
-                    found.append((ids[a:b][who], ties[a:b][who], start, number, anchor, region))
+                for who, *rest in anchored_runs(texts[a:b].to_pylist(), hasher, length):
+                    found.append((ids[a:b][who], ties[a:b][who], *rest))
                     held += len(who)
                 if held > _FLUSH:
                     yield emit(found)
@@ -163,8 +183,9 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Every window of ``length`` bytes has an anchor by its content. Windows that share an anchor without a
     gap are a run, and equal runs collapse to the first of them: the others go whole. Where
-    runs with one anchor differ, at the edges of a passage, the windows of their first occurrences are compared one by one by 128-bit
-    hashes. So only runs, one for about 35 bytes, are shuffled, and windows only at edges.
+    runs with one anchor differ but agree on one side of it, at the edges of a passage, the windows of
+    their first occurrences are compared one by one by 95-bit hashes. So only runs, one
+    for about 45 bytes, are shuffled, and windows only at edges.
     """
     counted = docs.agg(F.count("*"), F.countDistinct("doc_id"), F.sum(F.octet_length("text"))).first()
     unique = counted[0] == counted[1]
@@ -180,33 +201,50 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def block(doc_id: str, tie_name: str):
         return F.pmod(F.xxhash64(doc_id, tie_name), F.lit(n_blocks)).alias("block")
 
-    seen = rows.mapInArrow(
-        _run_rows(length),
-        "anchor bigint, region bigint, n int, ids array<bigint>, ties array<bigint>, starts array<int>",
-    )
-    of_region = Window.partitionBy("anchor", "region")
+    seen = rows.mapInArrow(_run_rows(length), _SEEN)
     of_anchor = Window.partitionBy("anchor")
-    head = F.struct(
-        F.get("ids", F.lit(0)).alias("id"), F.get("ties", F.lit(0)).alias("tie"),
-        F.get("starts", F.lit(0)).alias("start"),
+    several = F.min("region").over(of_anchor) != F.max("region").over(of_anchor)
+    met = (
+        seen.withColumn("rows", F.count("*").over(of_anchor))
+        .withColumn("several", several)
+        .filter((F.col("rows") > 1) | F.col("more").isNotNull())
     )
-    compared = (
-        seen.withColumn("head", head)
-        .withColumn("several", F.min("region").over(of_anchor) != F.max("region").over(of_anchor))
-        .withColumn("first", F.min("head").over(of_region))
-        .filter(F.col("several") | (F.col("head") > F.col("first")) | (F.size("ids") > 1))
-    )
-    places = compared.select(
-        "n", "first", "several",
-        F.explode(F.arrays_zip(F.col("ids").alias("id"), F.col("ties").alias("tie"),
-                               F.col("starts").alias("start"))).alias("at"),
+
+    def shared(side: str):
+        # Another region has the same bytes on this side of the anchor.
+        alike = Window.partitionBy("anchor", side)
+        return (F.col(side) > 0) & (F.min("region").over(alike) != F.max("region").over(alike))
+
+    head = F.struct("id", "tie", "place")
+    every = F.concat(F.array(head), F.coalesce("more", F.array()))
+    # Once for both of its uses; whatever is in one place only is gone by now.
+    places = written(
+        met.withColumn("left", F.shiftrightunsigned("sides", 16))
+        .withColumn("right", F.col("sides").bitwiseAND(0xFFFF))
+        .withColumn("left_shared", F.col("several") & shared("left"))
+        .withColumn("right_shared", F.col("several") & shared("right"))
+        .withColumn("first", F.min(head).over(Window.partitionBy("anchor", "region")))
+        .select("left_shared", "right_shared", "first", F.explode(every).alias("at"))
+        .withColumn("later", F.col("at") > F.col("first"))
+        .filter("later or ((left_shared or right_shared) and at = first)")
+        .select("at.*", "later", "left_shared", "right_shared"),
+        "repeat-places",
     )
-    whole = places.filter(F.col("at") > F.col("first")).select(
-        block("at.id", "at.tie"), "at.id", "at.tie", "at.start", (F.col("n") + length - 1).alias("bytes")
+    place = places.select(
+        block("id", "tie"), "id", "tie", "later", "left_shared", "right_shared",
+        F.shiftright("place", 14).cast("int").alias("start"),
+        F.col("place").bitwiseAND(127).cast("int").alias("n"),
+        (F.shiftright("place", 7).bitwiseAND(127).cast("int") - (length - _GRAM) // 2).alias("reach"),
     )
-    edges = places.filter(F.col("several") & (F.col("at") == F.col("first"))).select(
-        block("at.id", "at.tie"), "at.id", "at.tie", "at.start", "n"
+    whole = place.filter("later").select(
+        "block", "id", "tie", "start", (F.col("n") + length - 1).alias("bytes")
     )
+    # A window with more than half of the rest left of the anchor needs the left side shared.
+    skipped = F.when(F.col("left_shared"), 0).otherwise(F.greatest("reach", F.lit(0)))
+    stop = F.when(F.col("right_shared"), F.col("n")).otherwise(F.least(F.col("n"), F.col("reach") + 1))
+    edges = place.filter("not later").select(
+        "block", "id", "tie", (F.col("start") + skipped).alias("start"), (stop - skipped).alias("n")
+    ).filter("n > 0")
     blocks = rows.select(block("id", "tie"), "id", "tie", "text")
 
     def windows(texts: pa.Table, found: pa.Table) -> pa.Table:
@@ -214,7 +252,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     single = (
         blocks.groupBy("block").cogroup(edges.groupBy("block"))
-        .applyInArrow(windows, "a bigint, b bigint, id bigint, tie bigint, start int")
+        .applyInArrow(windows, "a bigint, b int, id bigint, tie bigint, start int")
     )
     order = Window.partitionBy("a", "b").orderBy("id", "tie", "start")
     later = single.withColumn("nth", F.row_number().over(order)).filter("nth > 1").select(
@@ -242,7 +280,8 @@ def _columns(table: pa.Table, *names: str) -> list[np.ndarray]:
 
 def _edge_windows(texts: pa.Table, edges: pa.Table, length: int) -> pa.Table:
     """Two hashes of every window of the edge runs, with where it starts."""
-    out = [(np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.int32),)]
+    whole, half = np.zeros(0, np.int64), np.zeros(0, np.int32)
+    out = [(whole, half, whole, whole, half)]
     if edges.num_rows and texts.num_rows:
         hashers = [Hasher(base, _ROOM) for base in _BASES]
         text_of = {
@@ -254,6 +293,7 @@ def _edge_windows(texts: pa.Table, edges: pa.Table, length: int) -> pa.Table:
             raw = np.frombuffer(text_of[i, t], np.uint8)[start : start + n + length - 1]
             at = np.arange(n)
             a, b = (h.parts(h.read(raw), at, at + length).view(np.int64) for h in hashers)
+            b = (b & 0x7FFFFFFF).astype(np.int32)
             out.append((a, b, np.full(n, i), np.full(n, t), (start + at).astype(np.int32)))
     return pa.table(
         {name: pa.array(np.concatenate(x)) for name, x in zip(("a", "b", "id", "tie", "start"), zip(*out))}
