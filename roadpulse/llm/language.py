@@ -104,6 +104,7 @@ def train_language_model(
     rate: float = 8.0,
     most_rejected: float = 0.0005,
     least_precision: float = 0.99,
+    most_lost: float = 0.02,
 ) -> LanguageModel:
     """Fit on a sample of the rows of ``docs(doc_id, text, lang)`` with text and lang.
 
@@ -112,7 +113,9 @@ def train_language_model(
     the embeddings by stochastic gradient descent; on the rest the temperature is fitted
     and the rejection calibrated: the threshold is the larger of the score below which
     ``most_rejected`` of correct predictions lie and the least score from which on the
-    predictions reach ``least_precision``. Rows without lang or text are not learned from.
+    predictions reach ``least_precision``, but never above the score below which ``most_lost`` of correct
+    predictions lie: wrong labels lower the measured precision at every score, and must not
+    cost the good documents. Rows without lang or text are not learned from.
     """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     if learnable is not None:
@@ -138,10 +141,11 @@ def train_language_model(
     ]
     train = [d[:3] for d in data if not d[3]] or [d[:3] for d in data]
     held = [d[:3] for d in data if d[3]] or train
-    return _fit(languages, train, held, epochs, rate, most_rejected, least_precision)
+    limits = (most_rejected, least_precision, most_lost)
+    return _fit(languages, train, held, epochs, rate, limits)
 
 
-def _fit(languages, train, held, epochs, rate, most_rejected, least_precision) -> LanguageModel:
+def _fit(languages, train, held, epochs, rate, limits) -> LanguageModel:
     rng = np.random.default_rng(7)
     vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
     weights = np.zeros((DIMENSIONS, len(languages)), dtype=np.float32)
@@ -173,15 +177,28 @@ def _fit(languages, train, held, epochs, rate, most_rejected, least_precision) -
     )
     chances = _softmax(logits / temperature)
     score, right = chances.max(axis=1), chances.argmax(axis=1) == labels
+    threshold = least_score(score, right, 1 / len(languages), *limits)
+    return LanguageModel(languages, evidence, bias, float(temperature), threshold)
+
+
+def least_score(
+    score: np.ndarray, right: np.ndarray, chance: float,
+    most_rejected: float = 0.0005, least_precision: float = 0.99, most_lost: float = 0.02,
+) -> float:
+    """The least accepted score, from held-out predictions and whether they are right.
+
+    Where no prediction is right nothing can be calibrated, and ``chance`` accepts every score.
+    """
+    if not right.any():
+        return chance
     order = np.argsort(-score)
     precise = np.cumsum(right[order]) / np.arange(1, len(order) + 1) >= least_precision
+    by_loss, most = np.quantile(score[right], [most_rejected, most_lost])
+    # If precision holds over all predictions, the quantile decides.
+    if precise[-1]:
+        return float(min(by_loss, max(0.5, chance)))
     by_precision = score[order][np.flatnonzero(precise)[-1]] if precise.any() else 1.0
-    by_loss = np.quantile(score[right], most_rejected) if right.any() else 1.0
-    # Precision holds down to by_precision; if it holds everywhere, the quantile decides.
-    threshold = by_loss if precise.all() or precise[-1] else max(by_loss, by_precision)
-    chance = 1 / len(languages)
-    return LanguageModel(languages, evidence, bias, float(temperature),
-                         float(min(threshold, max(0.5, chance)) if precise[-1] else threshold))
+    return float(min(max(by_loss, by_precision), most))
 
 
 def _predictor(model: LanguageModel):

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from compare import connect, differences
@@ -15,7 +16,7 @@ from roadpulse.llm import queries
 from roadpulse.llm.components import connected_components
 from roadpulse.llm.decontaminate import find_contamination, keep_clean
 from roadpulse.llm.exact import exact_groups
-from roadpulse.llm.language import identify, train_language_model
+from roadpulse.llm.language import identify, least_score, train_language_model
 from roadpulse.llm.lm import lm_scores
 from roadpulse.llm.mixing import mix_sources, repeat_mixed
 from roadpulse.llm.quality import score_quality, train_quality_model
@@ -112,6 +113,25 @@ def test_language_of_held_out_documents(spark, sf_dir, documents):
     assert sum(r.rejected for r in rows) <= 0.02 * len(rows)
 
 
+@pytest.mark.parametrize("share", [0.005, 0.015, 0.02, 0.03, 0.2, 1.0])
+def test_wrong_labels_do_not_reject_good_documents(share):
+    for seed in range(20):
+        rng = np.random.default_rng(seed)
+        score, right = rng.uniform(0.3, 1, 1600), rng.random(1600) >= share
+        assert (score < least_score(score, right, 0.25))[right].sum() <= 0.021 * right.sum()
+
+
+def test_language_with_shuffled_labels(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang is not null")
+    langs = sorted(r.lang for r in docs.select("lang").distinct().collect())
+    following = F.create_map(*[F.lit(x) for pair in zip(langs, langs[1:] + langs[:1]) for x in pair])
+    wrong = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 100 < 3
+    noisy = docs.withColumn("lang", F.when(wrong, F.try_element_at(following, F.col("lang"))).otherwise(F.col("lang")))
+    found = identify(docs, train_language_model(noisy), ["lang"]).collect()
+    assert sum(r.rejected for r in found) <= 0.05 * len(found)
+    assert sum(r.lang == r.lang_pred for r in found) >= 0.9 * len(found)
+
+
 def test_quality_separates_labels(spark):
     sf_dir = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
