@@ -283,6 +283,9 @@ def _edge_windows(texts: pa.Table, edges: pa.Table, length: int) -> pa.Table:
     whole, half = np.zeros(0, np.int64), np.zeros(0, np.int32)
     out = [(whole, half, whole, whole, half)]
     if edges.num_rows and texts.num_rows:
+        # Copies of a row have the same edges, and all of a row are in its block.
+        edges = edges.select(["id", "tie", "start", "n"])
+        edges = edges.group_by(edges.column_names).aggregate([])
         hashers = [Hasher(base, _ROOM) for base in _BASES]
         text_of = {
             (i, t): x.as_buffer()

@@ -230,6 +230,34 @@ def test_repeated_passages(spark, sf_dir, documents):
         assert (r.n_removed, r.kept_sha256) == (len(raw) - len(kept), hashlib.sha256(kept).hexdigest())
 
 
+def without_passages(rows):
+    seen, out = set(), []
+    for raw in rows:
+        covered = bytearray(len(raw))
+        for at in range(len(raw) - 99):
+            window = raw[at : at + 100]
+            if window in seen:
+                covered[at : at + 100] = b"\1" * 100
+            seen.add(window)
+        out.append(bytes(b for b, c in zip(raw, covered) if not c))
+    return out
+
+
+def test_repeated_row_keeps_a_passage_it_shares(spark):
+    rng = np.random.default_rng(3)
+
+    def words(n):
+        return " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(n))
+
+    shared = [words(60) for _ in range(5)]
+    first = words(50).join(shared)
+    rows = [(1, first), (1, first), (2, words(50).join(shared)), (3, words(40) + shared[2] + words(9))]
+    kept = without_passages([t.encode() for _, t in rows])
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = Counter((r.doc_id, r.kept_sha256) for r in repeated_passages(docs).collect())
+    assert found == Counter((i, hashlib.sha256(k).hexdigest()) for (i, _), k in zip(rows, kept))
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(10, 40)] + [(100, i) for i in range(101, 150)] + [(7, 7)]
     roots = {r.node: r.root for r in connected_components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
