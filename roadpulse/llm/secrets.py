@@ -27,6 +27,9 @@ _SIZE = len(ALPHABET)
 _TOKEN = r"[A-Za-z0-9+/_=-]"
 CANDIDATE_LENGTH = 20
 _IDENTIFIER_LENGTH = 8
+_JUDGED_LENGTH = 12  # of tokens whose evidence sets the limits
+_RECURRING = 5  # tokens seen so often are ordinary words
+_LOOKS_RANDOM = math.log(10.0)
 _BLOCK = 64
 _SPANS = "array<struct<start:bigint,stop:bigint,kind:int>>"
 
@@ -176,11 +179,41 @@ def train_secret_model(samples: DataFrame, most_false: float = 1e-4) -> SecretMo
     """Fit both Markov models on ``samples(token, secret)``.
 
     The collected counts are at most one for each pair of the alphabet and label. A fifth of each
-    model is uniform, so alphabets that no sample shows stay possible. A secret's mean evidence must
-    exceed that of all but ``most_false`` of the ordinary samples, and lie at least halfway to the lowest
-    hundredth of the secret ones. Without secret samples the random model is uniform.
+    model is uniform, so alphabets that no sample shows stay possible.
+
+    Ordinary samples hold every random string the base patterns miss. So a first ordinary model is fitted on
+    tokens that recur, and then twice on all but those the model before finds likelier random; these
+    set no limit either. A secret's mean evidence must lie at least halfway from that of all but
+    ``most_false`` of the ordinary samples to the lowest hundredth of the secret ones, which it need not exceed.
+    Without secret samples the random model is uniform.
     """
-    tokens = written(samples.filter(F.length("token") > 1), "secret-samples")
+    tokens = written(
+        samples.filter(F.length("token") > 1).groupBy("secret", "token").agg(F.count("*").alias("n")),
+        "secret-samples",
+    )
+    judged = F.length("token") >= F.lit(_JUDGED_LENGTH)
+    recurring = F.col("secret") | (F.col("n") >= _RECURRING)
+    model = _fit(tokens.filter(recurring)) if tokens.filter(~F.col("secret") & recurring).head(1) else _fit(tokens)
+    for _ in range(2):
+        random = ~F.col("secret") & judged & (model.evidence(F.col("token")) >= _LOOKS_RANDOM)
+        ordinary = tokens.filter(~random)
+        model = _fit(ordinary)
+    mean = model.evidence(F.col("token")) / (F.length("token") - 1)
+    limits = dict(
+        (r.secret, r.limit) for r in ordinary.filter(judged).groupBy("secret").agg(
+            F.when(F.col("secret"), F.percentile(mean, F.lit(0.01), F.col("n")))
+            .otherwise(F.percentile(mean, F.lit(1 - most_false), F.col("n"))).alias("limit")
+        ).collect()
+    )
+    highest = max(0.0, limits.get(False) or 0.0)
+    lowest = limits.get(True)
+    lowest = highest if lowest is None else max(0.0, lowest)
+    halfway = (min(highest, lowest) + lowest) / 2
+    return SecretModel(model.ratios, halfway, math.log(1e4))
+
+
+def _fit(tokens: DataFrame) -> SecretModel:
+    """Ratios of both Markov models of ``tokens(token, secret, n)``."""
     pairs = F.transform(
         F.sequence(F.lit(1), F.length("token") - 1),
         lambda i: F.substring(F.col("token"), i, F.lit(2)),
@@ -189,24 +222,13 @@ def train_secret_model(samples: DataFrame, most_false: float = 1e-4) -> SecretMo
     place = {letter: at for at, letter in enumerate(ALPHABET)}
     known = F.col("pair").rlike(f"^{_TOKEN}{{2}}$")
     for row in (
-        tokens.select("secret", F.explode(pairs).alias("pair")).filter(known)
-        .groupBy("secret", "pair").count().collect()
+        tokens.select("secret", "n", F.explode(pairs).alias("pair")).filter(known)
+        .groupBy("secret", "pair").agg(F.sum("n").alias("times")).collect()
     ):
-        counts[int(row.secret), place[row.pair[0]], place[row.pair[1]]] = row["count"]
+        counts[int(row.secret), place[row.pair[0]], place[row.pair[1]]] = row.times
     smooth = (counts + 0.01) / (counts + 0.01).sum(axis=2, keepdims=True)
     chances = 0.8 * smooth + 0.2 / _SIZE
-    ratios = np.log(chances[1] / chances[0])
-    model = SecretModel(ratios, 0.0, math.log(1e4))
-    mean = model.evidence(F.col("token")) / (F.length("token") - 1)
-    limits = dict(
-        (r.secret, r.limit) for r in tokens.filter(F.length("token") >= F.lit(12)).groupBy("secret").agg(
-            F.when(F.col("secret"), F.percentile(mean, F.lit(0.01)))
-            .otherwise(F.percentile(mean, F.lit(1 - most_false))).alias("limit")
-        ).collect()
-    )
-    ordinary = max(0.0, limits.get(False) or 0.0)
-    halfway = (ordinary + max(ordinary, limits.get(True) or ordinary)) / 2
-    return SecretModel(ratios, halfway, math.log(1e4))
+    return SecretModel(np.log(chances[1] / chances[0]), 0.0, math.log(1e4))
 
 
 def find_secrets(docs: DataFrame, model: SecretModel, carry: list[str] | None = None) -> DataFrame:

@@ -153,6 +153,25 @@ def test_base_secrets(spark, sf_dir, documents):
         assert hashlib.sha256(joined.encode()).hexdigest() == found[doc_id].base_sha256
 
 
+def random_strings(seed, n):
+    """Base62 strings of 32 characters in a text each, which no base pattern finds."""
+    rng = np.random.default_rng(seed)
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
+    return [f"the value {''.join(rng.choice(letters, 32))} of it" for _ in range(n)]
+
+
+def test_unlabelled_secrets_in_the_training_text_do_not_hide_others(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    fresh = spark.createDataFrame(list(enumerate(random_strings(2, 200))), "doc_id bigint, text string")
+
+    def caught(training):
+        model = train_secret_model(labelled_tokens(training))
+        return sum(len(r.spans) for r in find_secrets(fresh, model).collect())
+
+    planted = spark.createDataFrame(list(enumerate(random_strings(1, 50), 10**6)), docs.schema)
+    assert caught(docs.union(planted)) >= 0.9 * caught(docs) > 90
+
+
 def test_simhash_components(spark, sf_dir, documents):
     prints = {}
     for doc_id, text in texts(documents).items():
