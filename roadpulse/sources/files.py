@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Admission rules of an upload.
 ADMITTED_EXTENSIONS = ["csv", "txt", ""]
 MAX_FILE_BYTES = 100 * 1024 * 1024
+# A stream's checkpoint decides what is loaded, never the age of a file.
+_ANY_AGE = "36500d"
 SAFE_NAME = r"^[a-zA-Z0-9_\-\.]+$"
 UPLOAD_NAME = r"(?i)^detail_record_\d{4}_\d{2}_\d{2}_\d{2}_\d{2}_\d{2}(\.(csv|txt))?$"
 MONTH_IN_NAME = r"(?i)^detail_record_\d{4}_(0[1-9]|1[0-2])_"
@@ -27,6 +29,12 @@ def upload_name(path: Column) -> Column:
     return F.substring_index(F.when(last.startswith("part-"), folder).otherwise(last), "=", -1)
 
 
+def upload_path(path: Column) -> Column:
+    """The file, or the folder of part files, that is the upload."""
+    folder = F.substring_index(path, "/part-", 1)
+    return F.when(path.rlike("/part-[^/]*$"), folder).otherwise(path)
+
+
 def file_extension(name: Column) -> Column:
     return F.lower(F.regexp_extract(name, r"\.([^.]*)$", 1))
 
@@ -45,17 +53,19 @@ def rejection(name: Column, size: Column) -> Column:
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """Files under ``folder``, recursively; contents are not read.
 
-    The part files of one upload share its ``file_name``. ``file_path`` is spelled
+    The part files of one upload share its ``file_name``, and ``file_size`` is the size of
+    all of them, so that all or none are admitted. ``file_path`` is spelled
     as in :func:`read_lines`.
     """
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     )
     name = upload_name(F.col("path"))
+    parts = Window.partitionBy(upload_path(F.col("path")))
     return listing.select(
         "_metadata.file_path",
         name.alias("file_name"),
-        F.col("length").alias("file_size"),
+        F.sum("length").over(parts).alias("file_size"),
         file_extension(name).alias("extension"),
         F.col("modificationTime").alias("modified"),
     )
@@ -87,6 +97,8 @@ def read_lines(
     A stream may bound each batch to about ``max_bytes`` of files.
     """
     reader = spark.readStream if streaming else spark.read
+    if streaming:
+        reader = reader.option("maxFileAge", _ANY_AGE)
     if streaming and max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     text = reader.format("text").option("recursiveFileLookup", "true").load(paths)

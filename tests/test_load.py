@@ -53,6 +53,20 @@ def test_only_new_admitted_files_are_loaded(spark, place):
     assert [tuple(r) for r in rejected] == [(NAME % 2, "d9,P,bad", ["latitude"], "2017_01")]
 
 
+def test_size_of_an_upload_is_that_of_all_its_parts(spark, place, monkeypatch):
+    import roadpulse.sources.files as module
+
+    monkeypatch.setattr(module, "MAX_FILE_BYTES", 3 * len(GOOD % 1))
+    for day, sizes in ((2, (1, 4)), (3, (2, 2)), (4, (1, 2))):
+        folder = place / "in" / (NAME % day)
+        folder.mkdir()
+        for part, n in enumerate(sizes):
+            (folder / f"part-{part}.txt").write_text(GOOD % day * n)
+    assert load(spark, place).seen == 3
+    assert stored(spark, place) == ["d4"] * 3
+    assert [r.file_name for r in load_log(spark, str(place / "log")).collect()] == [NAME % 4]
+
+
 def test_route_by_record_time(spark, place):
     (place / "in" / (NAME % 2)).write_text(
         GOOD % 1 + "bad,P,x\n" + (GOOD % 2).replace("2017-01", "2017-02")

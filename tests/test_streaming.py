@@ -1,4 +1,5 @@
 import json
+import os
 import time
 from datetime import timedelta
 
@@ -47,6 +48,19 @@ def test_files_are_loaded_once_as_they_arrive(spark, tmp_path):
     assert sorted(loads) == [f"load_id={query_id}_0", f"load_id={query_id}_1"]
 
 
+def test_files_older_than_a_week_are_loaded(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    line = "d%d,P,1,2,3,4,s,2017-01-05 08:00:00\n"
+    (folder / "detail_record_2017_01_02_00_00_00.csv").write_text(line % 1)
+    assert drain(spark, tmp_path) == ["d1"]
+    old = folder / "detail_record_2017_01_03_00_00_00.csv"
+    old.write_text(line % 2)
+    os.utime(old, (time.time() - 10 * 86400,) * 2)
+    (folder / "detail_record_2017_01_04_00_00_00.csv").write_text(line % 3)
+    assert drain(spark, tmp_path) == ["d1", "d2", "d3"]
+
+
 def samples(spark):
     return records(
         spark,
