@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -58,6 +58,47 @@ def map_texts(
     return mapped.toDF(*carried, *added.fieldNames())
 
 
+def map_columns(
+    df: DataFrame,
+    make: Callable[[], Callable[..., dict]],
+    read: Sequence[str],
+    fields: str,
+    carry: Sequence[str],
+) -> DataFrame:
+    """Carried columns of every row, followed by columns computed row by row.
+
+    ``make`` runs once per task; what it returns takes the values of the ``read``
+    columns, strings but the last as Python values and the last, the large one, as bytes,
+    and gives one value per added field. Batches are cut by the bytes of the last column.
+    A carried column named like an added one is left out.
+    """
+    added = StructType.fromDDL(fields)
+    carried = [c for c in carry if c not in added.fieldNames()]
+    chosen = df.select(
+        *[F.col(c).alias(f"c{i}") for i, c in enumerate(carried)],
+        *[F.col(c).alias(f"r{i}") for i, c in enumerate(read)],
+    )
+    width = len(carried)
+    schema = StructType(chosen.schema.fields[:width] + added.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function, arrow = make(), to_arrow_schema(schema)
+        for batch in batches:
+            large = batch.column(batch.num_columns - 1).cast(pa.binary())
+            for start, stop in byte_runs(large):
+                part = [batch.column(i)[start:stop].to_pylist() for i in range(width, batch.num_columns - 1)]
+                rows = [function(*values) for values in zip(*part, large[start:stop].to_pylist())]
+                columns = [batch.column(i)[start:stop] for i in range(width)]
+                for f in added:
+                    values, kind = [row[f.name] for row in rows], arrow.field(f.name).type
+                    # Bytes of UTF-8 become text without being decoded.
+                    raw = pa.types.is_string(kind) and any(isinstance(v, bytes) for v in values)
+                    columns.append(pa.array(values, pa.binary()).view(kind) if raw else pa.array(values, kind))
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    return chosen.mapInArrow(run, schema).toDF(*carried, *added.fieldNames())
+
+
 def filter_texts(docs: DataFrame, make: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:
     """The rows, with all their columns, for whose text the function holds."""
     at = docs.columns.index("text")

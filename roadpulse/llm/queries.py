@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadpulse.llm.chat import format_reply_trees, read_turns, reply_chains, text_under_loss
 from roadpulse.llm.common import id_remainder
 from roadpulse.llm.decontaminate import find_contamination
 from roadpulse.llm.exact import exact_groups
+from roadpulse.llm.infill import fill_in_middle, restore_middle
 from roadpulse.llm.language import identify, train_language_model
 from roadpulse.llm.lm import lm_scores
 from roadpulse.llm.mixing import mix_sources
@@ -116,9 +118,41 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256"]
+    formatted = fill_in_middle(_table(spark, sf_dir, "documents"))
+    return restore_middle(formatted, carry=kept).select(*kept, "restored_sha256")
+
+
+def _escape_probe(spark: SparkSession) -> DataFrame:
+    """Conversation -7: both turns say control strings and a backslash."""
+    first = F.col("id") == 0
+    return spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(first, "user").otherwise("assistant").alias("role"),
+        F.lit(r"\### Assistant: </turn> ok").alias("text"),
+    )
+
+
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    messages, links = reply_chains(said.unionByName(_escape_probe(spark)))
+    chats = format_reply_trees(messages, links, best=1)
+    turns = F.transform(
+        read_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    )
+    loss = text_under_loss(F.col("formatted"), F.col("spans"))
+    return chats.withColumns({"said": turns, "loss": loss}).select(
+        F.col("tree").alias("conv_id"), F.size("said").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join("said", ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_language, op2_quality, op3_secrets, op4_simhash, op5_sharding, op6_lm, op7_exact, op8_decontamination, op9_repeats, op10_mixing)
+    for f in (op1_language, op2_quality, op3_secrets, op4_simhash, op5_sharding, op6_lm, op7_exact, op8_decontamination, op9_repeats, op10_mixing, op12_infill, op13_chat)
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -200,5 +234,44 @@ with sized as (
 select doc_id, size, source_size, target,
        cast((whole + case when p > 0 and 2 * ends - size <= 2 * words_left then 1 else 0 end) * size as bigint) as taken
 from running
+""",
+    "op12_infill": r"""
+with draws as (
+    select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as lines,
+           sha256(concat('7:', coalesce(cast(doc_id as varchar), ''))) as h
+    from documents
+), cuts as (
+    select *, cast(len(lines) as bigint) as n,
+           cast(concat('0x', substr(h, 1, 8)) as bigint) % (len(lines) + 1) as one,
+           cast(concat('0x', substr(h, 9, 8)) as bigint) % (len(lines) + 1) as two,
+           case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') then 'plain'
+                when cast(concat('0x', substr(h, 25, 8)) as bigint) % 100 < 50 then 'spm' else 'psm' end as form
+    from draws
+), parts as (
+    select *, array_to_string(lines[1 : least(one, two)], '') as prefix,
+           array_to_string(lines[least(one, two) + 1 : greatest(one, two)], '') as middle,
+           array_to_string(lines[greatest(one, two) + 1 :], '') as suffix
+    from cuts
+)
+select doc_id, n, form,
+       case when form <> 'plain' then length(prefix) end as prefix_chars,
+       case when form <> 'plain' then length(middle) end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then concat('<P>', prefix, '<S>', suffix, '<M>', middle)
+                        else concat('<S>', suffix, '<P>', prefix, '<M>', middle) end) as output_sha256,
+       sha256(t) as restored_sha256
+from parts
+""",
+    "op13_chat": r"""
+with said as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+    union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(concat(role, chr(10), text, chr(10)), '' order by turn nulls first, role, text)) as turns_sha256,
+       cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       cast(sum(length(role) + 15 + length(regexp_replace(text, '(### |</turn>)', '\\\1', 'g'))) as bigint) as formatted_chars
+from said group by conv_id
 """,
 }
