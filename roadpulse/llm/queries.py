@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadpulse.llm.align import alignment_counts
 from roadpulse.llm.chat import format_reply_trees, read_turns, reply_chains, text_under_loss
 from roadpulse.llm.common import id_remainder
 from roadpulse.llm.decontaminate import find_contamination
@@ -118,6 +119,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_counts(_table(spark, sf_dir, "documents"))
+
+
 def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256"]
     formatted = fill_in_middle(_table(spark, sf_dir, "documents"))
@@ -152,7 +157,7 @@ def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_language, op2_quality, op3_secrets, op4_simhash, op5_sharding, op6_lm, op7_exact, op8_decontamination, op9_repeats, op10_mixing, op12_infill, op13_chat)
+    for f in (op1_language, op2_quality, op3_secrets, op4_simhash, op5_sharding, op6_lm, op7_exact, op8_decontamination, op9_repeats, op10_mixing, op11_alignment, op12_infill, op13_chat)
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
