@@ -101,6 +101,7 @@ def train_language_model(
     rows_by_language: int = 800,
     rows: int = 8000,
     epochs: int = 6,
+    least_steps: int = 5_000,
     rate: float = 8.0,
     most_rejected: float = 0.0005,
     least_precision: float = 0.99,
@@ -110,7 +111,8 @@ def train_language_model(
 
     The sample is drawn by a hash of doc_id: about ``rows_by_language`` whole texts of every
     language, ``rows`` in total, each as at most BUCKETS counts. Four fifths train
-    the embeddings by stochastic gradient descent; on the rest the temperature is fitted
+    the embeddings by stochastic gradient descent, in ``epochs`` passes or as many more as make
+    ``least_steps`` steps, so that a small sample is learned as far as a large one; on the rest the temperature is fitted
     and the rejection calibrated: the threshold is the larger of the score below which
     ``most_rejected`` of correct predictions lie and the least score from which on the
     predictions reach ``least_precision``, but never above the score below which ``most_lost`` of correct
@@ -142,7 +144,8 @@ def train_language_model(
     train = [d[:3] for d in data if not d[3]] or [d[:3] for d in data]
     held = [d[:3] for d in data if d[3]] or train
     limits = (most_rejected, least_precision, most_lost)
-    return _fit(languages, train, held, epochs, rate, limits)
+    passes = max(epochs, -(-least_steps // max(1, len(train))))
+    return _fit(languages, train, held, passes, rate, limits)
 
 
 def _fit(languages, train, held, epochs, rate, limits) -> LanguageModel:
