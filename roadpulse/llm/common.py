@@ -114,7 +114,7 @@ def filter_texts(docs: DataFrame, make: Callable[[], Callable[[list], list[bool]
     return docs.mapInArrow(run, docs.schema)
 
 
-def byte_runs(texts: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def byte_runs(texts: pa.Array, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive rows of about ``most`` bytes; a longer text is alone."""
     start = size = 0
     lengths = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,6 +67,9 @@ class Golay:
         return self.decode(words[:, None] ^ flips[None, :])
 
 
+_golay = cache(Golay)
+
+
 def layout(distance: int) -> list[tuple[int, int, int]]:
     """(shift of an exact segment, its width, shift of a Golay word after turning it to the end).
 
@@ -84,7 +89,7 @@ def layout(distance: int) -> list[tuple[int, int, int]]:
 
 def fuzzy_keys(prints: np.ndarray, distance: int = MAX_DISTANCE) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers and keys: rows at most ``distance`` bits apart share a key."""
-    golay, rows, keys = Golay(), [], []
+    golay, rows, keys = _golay(), [], []
     for number, (start, width, part) in enumerate(layout(distance)):
         turned = prints >> np.uint64(start)
         if start:
@@ -151,13 +156,13 @@ def near_links(prints: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
 
     def spread(batches):
         for batch in batches:
-            values = batch["print"].to_numpy()
-            for at in range(0, len(values), 1 << 15):
-                part = values[at : at + (1 << 15)]
+            values = batch.column(0).to_numpy()
+            for at in range(0, len(values), 1 << 12):
+                part = values[at : at + (1 << 12)]
                 rows, keys = fuzzy_keys(part.view(np.uint64), distance)
-                yield pd.DataFrame({"key": keys.view(np.int64), "print": part[rows]})
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(part[rows])], ["key", "print"])
 
-    keyed = prints.select("print").mapInPandas(spread, "key bigint, print bigint")
+    keyed = prints.select("print").mapInArrow(spread, "key bigint, print bigint")
     a = keyed.select("key", F.col("print").alias("a"))
     b = keyed.select(F.col("key").alias("other"), F.col("print").alias("b"))
     differing = F.col("a").bitwiseXOR(F.col("b"))
