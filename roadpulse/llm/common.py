@@ -107,14 +107,14 @@ def filter_texts(docs: DataFrame, make: Callable[[], Callable[[list], list[bool]
         function = make()
         for batch in batches:
             texts = batch.column(at).cast(pa.binary())
-            for start, stop in byte_runs(texts):
+            for start, stop in byte_runs(texts, 1 << 19):
                 mask = pa.array(function(texts[start:stop].to_pylist()), pa.bool_())
                 yield batch.slice(start, stop - start).filter(mask)
 
     return docs.mapInArrow(run, docs.schema)
 
 
-def byte_runs(texts: pa.Array, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
+def byte_runs(texts: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive rows of about ``most`` bytes; a longer text is alone."""
     start = size = 0
     lengths = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
