@@ -336,6 +336,20 @@ SELECT count(*) FILTER (WHERE direction % 11 <> 4) AS seen,
 FROM ev WHERE {_WHOLE}""",
     "folder_load": f"{_READ_BACK} WHERE {_WHOLE}",
     "stream_ingest": f"{_READ_BACK} WHERE {_WHOLE}",
+    "load_report_per_file": f"""
+WITH {_EVENTS}
+SELECT {_DAY_FILE} AS file_name, count(*) FILTER (WHERE direction % 11 <> 4) AS seen,
+  count(*) FILTER (WHERE direction % 11 IN (0, 5, 7, 10)) AS good,
+  count(*) FILTER (WHERE direction % 11 IN (1, 2, 3, 6, 8, 9)) AS rejected
+FROM ev WHERE {_WHOLE} GROUP BY ALL""",
+    "refused_uploads": f"""
+WITH {_EVENTS}, days AS (SELECT DISTINCT {_DAY_FILE} AS name, dayofmonth(record_time) % 4 AS kind FROM ev WHERE {_WHOLE})
+SELECT name AS file_name, 'duplicate' AS reason FROM days
+UNION ALL
+SELECT CASE kind WHEN 0 THEN name || '.pdf' WHEN 1 THEN 'a b' || name
+    WHEN 2 THEN replace(name, '_2024_01_', '_2024_13_') ELSE 'x' || name END,
+  CASE kind WHEN 0 THEN 'extension' WHEN 1 THEN 'characters' WHEN 2 THEN 'month' ELSE 'pattern' END
+FROM days""",
     "stream_speed_windows": f"""
 WITH {_EVENTS}
 SELECT driverID, time_bucket(INTERVAL 3 MINUTE, record_time, TIMESTAMP '1970-01-01') AS window_start,

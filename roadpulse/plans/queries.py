@@ -16,7 +16,8 @@ from roadpulse.operators.behavior import (
     summary_json,
 )
 from roadpulse.operators.filters import for_driver, in_range
-from roadpulse.operators.load import append_telemetry, load_folder, table_path
+from roadpulse.operators import load
+from roadpulse.operators.load import append_telemetry, load_folder, load_log, table_path
 from roadpulse.operators.parse import (
     ingest_report,
     parse_telemetry,
@@ -361,6 +362,39 @@ def stream_ingest(spark, sf_dir):
     return naive_times(read_telemetry(spark, table_path(f"{out}/store"), *WHOLE))
 
 
+def load_report_per_file(spark, sf_dir):
+    """Lines seen, stored and rejected of every upload, as the load wrote them into its log."""
+    uploads, out = scratch_folder(spark, "uploads"), scratch_folder(spark, "load")
+    lines = _damaged_lines(spark, sf_dir).withColumnRenamed("file_name", "upload")
+    lines.hint("rebalance", "upload").write.partitionBy("upload").text(uploads)
+    load_folder(spark, uploads, f"{out}/store", f"{out}/log")
+    return load_log(spark, f"{out}/log").drop("load_id")
+
+
+def refused_uploads(spark, sf_dir):
+    """Uploads turned away by a stream and a folder load over one ledger, and why.
+
+    Every day comes three times: under its own name for the stream, again for the folder load, and
+    under a name that breaks a rule, by the day of the month.
+    """
+    out, day = scratch_folder(spark, "refused"), F.dayofmonth("record_time")
+    lines = _events(spark, sf_dir).select(upload_line(_events(spark, sf_dir)).alias("value"), "record_time")
+    own = _upload_name_of_day(F.col("record_time"))
+    broken = (
+        F.when(day % 4 == 0, F.concat(own, F.lit(".pdf")))
+        .when(day % 4 == 1, F.concat(F.lit("a b"), own))
+        .when(day % 4 == 2, F.regexp_replace(own, "_2024_01_", "_2024_13_"))
+        .otherwise(F.concat(F.lit("x"), own))
+    )
+    for folder, name in (("first", own), ("again", own), ("broken", broken)):
+        named = lines.select("value", name.alias("upload")).hint("rebalance", "upload")
+        named.write.partitionBy("upload").text(f"{out}/in/{folder}")
+    store, log = f"{out}/store", f"{out}/log"
+    ingest_stream(spark, f"{out}/in/first", store, f"{out}/checkpoint", log=log).awaitTermination()
+    load_folder(spark, f"{out}/in", store, log)
+    return load.refused_uploads(spark, log).select("file_name", "reason")
+
+
 def stream_speed_windows(spark, sf_dir):
     """Windows kept by the monitor over a stream of the events file."""
     events = table(spark, sf_dir, "events")
@@ -437,6 +471,8 @@ QUERIES: dict[str, Query] = {
         ingest_counts,
         folder_load,
         stream_ingest,
+        load_report_per_file,
+        refused_uploads,
         stream_speed_windows,
         jdbc_roundtrip,
     )

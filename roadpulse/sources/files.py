@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ ADMITTED_EXTENSIONS = ["csv", "txt", ""]
 MAX_FILE_BYTES = 100 * 1024 * 1024
 # A stream's checkpoint decides what is loaded, never the age of a file.
 _ANY_AGE = "36500d"
+_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 SAFE_NAME = r"^[a-zA-Z0-9_\-\.]+$"
 UPLOAD_NAME = r"(?i)^detail_record_\d{4}_\d{2}_\d{2}_\d{2}_\d{2}_\d{2}(\.(csv|txt))?$"
 MONTH_IN_NAME = r"(?i)^detail_record_\d{4}_(0[1-9]|1[0-2])_"
@@ -30,9 +33,8 @@ def upload_name(path: Column) -> Column:
 
 
 def upload_path(path: Column) -> Column:
-    """The file, or the folder of part files, that is the upload."""
-    folder = F.substring_index(path, "/part-", 1)
-    return F.when(path.rlike("/part-[^/]*$"), folder).otherwise(path)
+    """The file, or the folder of part files, that is the upload: the path up to its last component."""
+    return F.regexp_replace(path, "/part-[^/]*$", "")
 
 
 def file_extension(name: Column) -> Column:
@@ -50,12 +52,17 @@ def rejection(name: Column, size: Column) -> Column:
     )
 
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Files under ``folder``, recursively; contents are not read.
+def literal_path(path: str) -> str:
+    """A path as readers take it, with the characters of their patterns escaped."""
+    return re.sub(r"([][{}*?\\])", r"\\\1", path)
+
+
+def list_files(spark: SparkSession, folder: str | list[str]) -> DataFrame:
+    """Files under ``folder``, or under several, recursively; contents are not read and empty files are passed over.
 
     The part files of one upload share its ``file_name``, and ``file_size`` is the size of
     all of them, so that all or none are admitted. ``file_path`` is spelled
-    as in :func:`read_lines`.
+    as in :func:`read_lines`; ``path`` and ``upload`` are as readers take them.
     """
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
@@ -65,12 +72,26 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     return listing.select(
         "_metadata.file_path",
         name.alias("file_name"),
+        "path",
+        upload_path(F.col("path")).alias("upload"),
         F.sum("length").over(parts).alias("file_size"),
         file_extension(name).alias("extension"),
         F.col("modificationTime").alias("modified"),
     )
 
 
+def stream_files(spark: SparkSession, folder: str, max_bytes: int | None, max_files: int) -> DataFrame:
+    """Paths of files as they appear under ``folder``; the checkpoint of a query remembers them.
+
+    A batch has at most ``max_files`` files and, if given, about ``max_bytes``. Contents are not read.
+    """
+    reader = spark.readStream.format("binaryFile").schema(_LISTING).option("recursiveFileLookup", "true")
+    reader = reader.option("maxFileAge", _ANY_AGE)
+    # A source takes one of the two limits; a file has at least one byte, or costs nothing.
+    limit = ("maxBytesPerTrigger", max_bytes) if max_bytes else ("maxFilesPerTrigger", max_files)
+    return reader.option(*limit).load(folder).select("path")
+
+
 def admit_files(files: DataFrame) -> DataFrame:
     """Each file with its verdict: ``admitted`` and the ``reason`` if it is not."""
     reason = rejection(F.col("file_name"), F.col("file_size"))
