@@ -356,6 +356,14 @@ SELECT driverID, time_bucket(INTERVAL 3 MINUTE, record_time, TIMESTAMP '1970-01-
   time_bucket(INTERVAL 3 MINUTE, record_time, TIMESTAMP '1970-01-01') + INTERVAL 3 MINUTE
     AS window_end,
   count(*) AS n_points, coalesce(max(speed), 0) AS max_speed, bool_or(isOverspeed) AS is_overspeed
+FROM ev GROUP BY ALL""",
+    "stream_late_windows": f"""
+WITH {_EVENTS}
+SELECT driverID, time_bucket(INTERVAL 3 MINUTE, record_time, TIMESTAMP '1970-01-01') AS window_start,
+  time_bucket(INTERVAL 3 MINUTE, record_time, TIMESTAMP '1970-01-01') + INTERVAL 3 MINUTE
+    AS window_end,
+  count(*) AS n_points, count(*) FILTER (WHERE record_time < TIMESTAMP '2024-01-10') AS n_late,
+  coalesce(max(speed), 0) AS max_speed, bool_or(isOverspeed) AS is_overspeed
 FROM ev GROUP BY ALL""",
     "jdbc_roundtrip": f"""
 WITH {_ORDERS} SELECT {_RECORD_COLUMNS} FROM rec

@@ -55,6 +55,7 @@ from roadpulse.sources.table import (
 )
 from roadpulse.streaming.ingest import ingest_stream
 from roadpulse.streaming.monitor import latest_windows, monitor_stream, start_monitor
+from roadpulse.streaming.store import start_window_store, stored_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -406,6 +407,18 @@ def stream_speed_windows(spark, sf_dir):
     return naive_times(latest_windows(spark, f"{out}/windows"))
 
 
+def stream_late_windows(spark, sf_dir):
+    """Windows of a store after two refreshes, of which the second brings the older samples."""
+    out = scratch_folder(spark, "late")
+    samples = _events(spark, sf_dir).select(*SPEED_INPUT)
+    early = F.col("record_time") < F.lit("2024-01-10").cast("timestamp")
+    for part in (samples.filter(~early), samples.filter(early)):
+        part.write.mode("append").parquet(f"{out}/in")
+        stream = spark.readStream.schema(samples.schema).parquet(f"{out}/in")
+        start_window_store(stream, f"{out}/windows", f"{out}/checkpoint", trigger=None).awaitTermination()
+    return naive_times(stored_windows(spark, f"{out}/windows"))
+
+
 def jdbc_roundtrip(spark, sf_dir):
     """Months of orders through database tables.
 
@@ -474,6 +487,7 @@ QUERIES: dict[str, Query] = {
         load_report_per_file,
         refused_uploads,
         stream_speed_windows,
+        stream_late_windows,
         jdbc_roundtrip,
     )
 }
