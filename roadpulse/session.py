@@ -16,6 +16,9 @@ TIME_ENCODING = "spark.sql.parquet.outputTimestampType"
 
 def _application_folder(spark: SparkSession) -> str:
     base = spark.conf.get(_SHARED_FOLDER, None) or spark.conf.get(_WAREHOUSE)
+    local = spark.sparkContext.master.startswith("local")
+    if not local and not spark.conf.get(_SHARED_FOLDER, None) and base.startswith(("file:", "/")):
+        raise ValueError(f"set {_SHARED_FOLDER} to a folder that all executors see")
     return f"{base.rstrip('/')}/roadpulse/{spark.sparkContext.applicationId}"
 
 
