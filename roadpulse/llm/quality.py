@@ -95,7 +95,7 @@ def train_quality_model(
     quality 0, of which at most 64 evenly spaced pieces build a
     dictionary. A quarter of the sample is kept out of the dictionaries and measured as
     whole texts: on it the logistic is fitted, weighted back to the labels' own shares.
-    If a label has no rows every text scores the share of label 1 (0.5 without labels).
+    If a label has no rows every text scores the share of label 1 (0.5 without labels). Other columns are ignored.
     """
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     if learnable is not None:
@@ -110,7 +110,7 @@ def train_quality_model(
     chosen = known.filter(unit_hash(F.col("doc_id"), salt="quality") < fraction).select(
         "doc_id", "quality"
     ).limit(3 * rows_by_label)
-    sample = docs.filter(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
+    sample = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
     part = unit_hash(F.col("doc_id"), salt="calibrate") < 0.25
     build = map_texts(sample.filter(~part), lambda: lambda t: {"pieces": _spread_pieces(t)},
                       "pieces binary", ["quality", "doc_id"]).limit(3 * rows_by_label).collect()
