@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import timedelta
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions.display import (
@@ -19,15 +16,13 @@ from roadpulse.functions.display import (
 )
 from roadpulse.functions.times import clock_label, moment, require_range
 from roadpulse.operators.filters import in_range, in_scan_order
+from roadpulse.operators.positions import with_positions
 from roadpulse.schema import SPEED_INPUT
-from roadpulse.session import written
 
 WINDOW_MINUTES = 3
 # Fixed value: how times are written in JSON (they are UTC by convention).
 JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 WINDOW_KEYS = ["driverID", "window_index"]
-# Upper bound of the rows (about 60 bytes each) a window split may broadcast.
-_BROADCAST_ROWS = 500_000
 
 
 def speed_series(df: DataFrame) -> DataFrame:
@@ -157,29 +152,21 @@ def window_lists(
     minutes: int = WINDOW_MINUTES,
     max_points: int = 20_000,
 ) -> DataFrame:
-    """Ordered label, speed and colour lists, one row per driver and window.
+    """Ordered label, speed and colour lists of every driver and window, in parts.
 
-    A window with more than ``max_points`` samples comes as several rows: whole
-    seconds in time order, a second above the limit cut further. ``part`` numbers
-    them, and every sample is in exactly one part. Which windows those are is found
-    first, with one combined count, because the split needs a join that ordinary
-    data should not pay for.
+    Samples are ordered by time, speed and flag. Sample i of a window (from 0) is in ``part`` i div
+    ``max_points``, whatever the window's size: every part but a window's last holds ``max_points``
+    samples, and the parts in order are the window. No task holds more than a part at once.
     """
-    indexed = _in_windows(df.select(*SPEED_INPUT), start, end, minutes)
-    sizes = indexed.groupBy(*WINDOW_KEYS).agg(F.count("*").alias("n_window"))
-    crowded = sizes.filter(F.col("n_window") > max_points).select(*WINDOW_KEYS)
-    large = written(crowded, "crowded-windows")
-    n_large = large.count()
-    if n_large == 0:
-        parted = indexed.withColumn("part", F.lit(0).cast("bigint"))
-    else:
-        fits = n_large * minutes * 60 <= _BROADCAST_ROWS
-        parted = _split_large(indexed, large, max_points, F.broadcast if fits else _unchanged)
-    point = F.struct(
+    samples = _in_windows(df.select(*SPEED_INPUT), start, end, minutes).select(
+        *WINDOW_KEYS,
         "record_time",
         number_or_zero(F.col("speed")).alias("speed"),
         is_true(F.col("isOverspeed")).alias("isOverspeed"),
     )
+    placed = with_positions(samples, WINDOW_KEYS, ["record_time", "speed", "isOverspeed"])
+    parted = placed.withColumn("part", F.expr(f"position div {int(max_points)}"))
+    point = F.struct("position", "record_time", "speed", "isOverspeed")
     gathered = parted.groupBy(*WINDOW_KEYS, "part").agg(
         F.sort_array(F.collect_list(point)).alias("points")
     )
@@ -191,52 +178,3 @@ def window_lists(
         F.transform("points", lambda p: point_colour(p["isOverspeed"])).alias("colours"),
     )
 
-
-def _split_large(
-    indexed: DataFrame,
-    large: DataFrame,
-    max_points: int,
-    small: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    """Number the parts of oversized windows from their per-second counts.
-
-    ``small`` marks a join side as broadcast when the number of oversized windows
-    allows it; then the samples are not shuffled here. Otherwise the crowded side
-    is the left one of each join, which adaptive execution may split.
-    """
-    timed = indexed.withColumns(
-        {"second": F.unix_seconds("record_time"), "position": F.monotonically_increasing_id()}
-    )
-    seconds = (
-        timed.join(small(_renamed(large, WINDOW_KEYS)), _same_keys(WINDOW_KEYS), "left_semi")
-        .groupBy(*WINDOW_KEYS, "second")
-        .agg(F.count("*").alias("n_second"))
-    )
-    # A window holds at most 60 x minutes distinct seconds, so this running sum
-    # works on small groups however many samples there are.
-    before = Window.partitionBy(*WINDOW_KEYS).orderBy("second").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    slices = F.ceil(F.col("n_second") / F.lit(max_points))
-    parts = seconds.withColumn("slices", slices).withColumn(
-        "first_part", F.coalesce(F.sum("slices").over(before), F.lit(0))
-    )
-    keys = [*WINDOW_KEYS, "second"]
-    joined = timed.join(small(_renamed(parts, keys)), _same_keys(keys), "left")
-    # The scan position, taken before any shuffle so that a repeated task finds the
-    # same one, deals a crowded second evenly over its slices.
-    dealt = F.pmod("position", "slices")
-    return joined.withColumn("part", F.coalesce(F.col("first_part") + dealt, F.lit(0)))
-
-
-def _unchanged(df: DataFrame) -> DataFrame:
-    return df
-
-
-def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.withColumnsRenamed({key: f"large_{key}" for key in keys})
-
-
-def _same_keys(keys: list[str]) -> Column:
-    matches = [F.col(key).eqNullSafe(F.col(f"large_{key}")) for key in keys]
-    return reduce(and_, matches)

@@ -38,10 +38,15 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
 _registered: set[str] = set()
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as its own type."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    files, folder = file_system(spark, path)
+    files.delete(folder, True)
 
 
 def clear_scratch(spark: SparkSession) -> None:

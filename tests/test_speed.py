@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from records import at, records, tuples
 
 from roadpulse.operators.filters import in_scan_order
+from roadpulse.operators.positions import with_positions
 from roadpulse.operators.speed import (
     overspeed_alerts,
     speed_points,
@@ -115,9 +116,8 @@ def test_windows_equal_brute_force(spark, samples, start, end):
     }
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 500_000])
-def test_crowded_window_is_split_without_losing_or_reordering(spark, monkeypatch, broadcast_rows):
-    monkeypatch.setattr("roadpulse.operators.speed._BROADCAST_ROWS", broadcast_rows)
+@pytest.mark.parametrize("max_points", [1, 100, 20_000])
+def test_crowded_window_is_split_without_losing_or_reordering(spark, max_points):
     random = Random(5)
     rows = [
         {
@@ -128,10 +128,12 @@ def test_crowded_window_is_split_without_losing_or_reordering(spark, monkeypatch
         for i in range(2000)
     ] + [{"driverID": "cold", "record_time": at(START), "speed": s} for s in range(5)]
     df = records(spark, *rows).repartition(4)
-    got = window_lists(df, START, "2017-01-01T01:00", max_points=100).collect()
+    got = window_lists(df, START, "2017-01-01T01:00", max_points=max_points).collect()
     gathered = defaultdict(list)
+    parts = {key: max(r["part"] for r in got if r["driverID"] == key) for key in (None, "hot", "cold")}
     for row in sorted(got, key=lambda r: r["part"]):
-        assert len(row["labels"]) <= 150
+        full = len(row["labels"]) == max_points
+        assert full or row["part"] == parts[row["driverID"]] and len(row["labels"]) < max_points
         gathered[row["driverID"]] += zip(row["labels"], row["speeds"], strict=True)
     for driver, points in gathered.items():
         labels = [label for label, _ in points]
@@ -142,8 +144,8 @@ def test_crowded_window_is_split_without_losing_or_reordering(spark, monkeypatch
             if r["driverID"] == driver
         ]
         assert sorted(points) == sorted(want)
-    assert len([r for r in got if r["driverID"] == "cold"]) == 1
-    assert len([r for r in got if r["driverID"] == "hot"]) > 10
+    for driver, points in gathered.items():
+        assert parts[driver] == (len(points) - 1) // max_points
 
 
 def test_equal_times_are_spread_over_sort_tasks(spark):
@@ -156,3 +158,26 @@ def test_equal_times_are_spread_over_sort_tasks(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sum(sizes) == 20000
     assert max(sizes) < 20000 / 3
+
+
+def test_positions_in_a_group_that_most_tasks_hold(spark):
+    df = spark.range(0, 30_000, 1, 6).select(
+        F.when(F.col("id") % 10 < 8, F.lit(None)).otherwise(F.col("id") % 7).alias("k"), (F.col("id") % 3).alias("t"), "id"
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = with_positions(df, ["k"], ["t"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    groups = defaultdict(list)
+    for r in got:
+        groups[r["k"]].append(r)
+    assert sorted(r["id"] for r in got) == list(range(30_000))
+    for rows in groups.values():
+        rows.sort(key=lambda r: r["position"])
+        assert [r["position"] for r in rows] == list(range(len(rows)))
+        assert [r["t"] for r in rows] == sorted(r["t"] for r in rows)
+
+
+def test_positions_of_nothing(spark):
+    assert with_positions(spark.range(0), ["id"], []).collect() == []
