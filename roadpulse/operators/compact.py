@@ -38,11 +38,11 @@ def compact_month(
     are then removed again. ``remove_replaced`` removes the old folders.
     """
     version = newest_manifests(spark, path, [month]).get(month, 0)
-    known = folded_loads(spark, path, month, version) if version else set()
-    waiting = open_loads(spark, path, month, known)
+    known = folded_loads(spark, path, {month: version} if version else {})
+    waiting = open_loads(spark, path, [month], known)
     if not waiting:
         return None
-    rows = read_month(spark, path, month, version, list(waiting.values())).drop("shard")
+    rows = read_month(spark, path, month, version, list(waiting)).drop("shard")
     expected = rows.count()
     files = max(1, -(-expected // rows_per_file))
     clustering = ["driverID", "record_time", "_scan"]
@@ -70,7 +70,8 @@ def compact_month(
         stored, n_files = bounds.agg(F.coalesce(F.sum("n_rows"), F.lit(0)), F.count("*")).first()
         if stored != expected:
             raise RuntimeError(f"{target} holds {stored} rows, {expected} were read")
-        if not publish(spark, path, month, version, bounds, sorted(known | waiting.keys())):
+        loads = sorted({load_id for _, load_id in known} | set(waiting.values()))
+        if not publish(spark, path, month, version, bounds, loads):
             remove_folder(spark, target)
             return None
     finally:
