@@ -216,6 +216,11 @@ WITH {_EVENTS}
 SELECT '{{"record_time":"' || strftime(record_time, '%Y-%m-%dT%H:%M:%S.000Z') || '"'
   || coalesce(',"speed":' || speed, '') || ',"isOverspeed":' || isOverspeed || '}}' AS json
 FROM ev WHERE {_WHOLE} AND {_ONE_DRIVER} ORDER BY record_time""",
+    "speed_series_json_all": f"""
+WITH {_EVENTS}
+SELECT '{{"record_time":"' || strftime(record_time, '%Y-%m-%dT%H:%M:%S.000Z') || '"'
+  || coalesce(',"speed":' || speed, '') || ',"isOverspeed":' || isOverspeed || '}}' AS json
+FROM ev WHERE {_WHOLE} ORDER BY record_time""",
     "speed_points_clean": f"""
 WITH {_EVENTS}
 SELECT driverID, record_time, CAST(coalesce(speed, 0) AS DOUBLE) AS speed, isOverspeed,
@@ -253,6 +258,21 @@ SELECT driverID, window_index, CAST(0 AS BIGINT) AS part,
   string_agg(CAST(shown AS VARCHAR), ',' ORDER BY record_time, label, shown, colour) AS speeds,
   string_agg(colour, ',' ORDER BY record_time, label, shown, colour) AS colours
 FROM p GROUP BY driverID, window_index""",
+    "window_lists_parts": f"""
+WITH {_EVENTS}, {_indexed(_WHOLE, "1990-01-01 00:01:00", 400 * 86400)},
+p AS (
+  SELECT driverID, window_index, record_time, strftime(record_time, '%I:%M:%S %p') AS label, coalesce(speed, 0) AS shown,
+    isOverspeed, CASE WHEN isOverspeed THEN '#ff0000' ELSE '#00ff51' END AS colour
+  FROM w
+),
+n AS (
+  SELECT *, row_number() OVER (PARTITION BY driverID, window_index ORDER BY record_time, shown, isOverspeed) - 1 AS position FROM p
+)
+SELECT driverID, window_index, position // 16 AS part,
+  string_agg(label, ',' ORDER BY position) AS labels,
+  string_agg(CAST(shown AS VARCHAR), ',' ORDER BY position) AS speeds,
+  string_agg(colour, ',' ORDER BY position) AS colours
+FROM n GROUP BY ALL""",
     "month_shards_range": """
 WITH spans AS (
   SELECT o_custkey, date_trunc('month', min(o_orderdate)) AS lo,
@@ -274,6 +294,7 @@ WHERE {_HALF_YEAR} AND {_ONE_DRIVER} ORDER BY record_time""",
     "shards_with_missing_month": f"""
 WITH {_ORDERS} SELECT driverID, record_time, speed, isOverspeed FROM rec
 WHERE strftime(record_time, '%Y_%m') IN ('1996_12', '1997_01', '1997_02')""",
+    "every_shard_and_missing": f"WITH {_ORDERS} SELECT driverID, record_time, speed, isOverspeed FROM rec",
     "union_missing_columns": f"""
 WITH {_EVENTS}, {_ORDERS}
 SELECT driverID, record_time, speed, CAST(NULL AS BOOLEAN) AS isOverspeed FROM ev WHERE {_WHOLE}
@@ -335,6 +356,7 @@ SELECT count(*) FILTER (WHERE direction % 11 <> 4) AS seen,
   count(*) FILTER (WHERE direction % 11 IN (1, 2, 3, 6, 8, 9)) AS rejected
 FROM ev WHERE {_WHOLE}""",
     "folder_load": f"{_READ_BACK} WHERE {_WHOLE}",
+    "folded_records": f"WITH {_EVENTS} SELECT {_RECORD_COLUMNS} FROM ev WHERE {_WHOLE}",
     "stream_ingest": f"{_READ_BACK} WHERE {_WHOLE}",
     "load_report_per_file": f"""
 WITH {_EVENTS}
@@ -369,4 +391,5 @@ FROM ev GROUP BY ALL""",
 WITH {_ORDERS} SELECT {_RECORD_COLUMNS} FROM rec
 WHERE record_time BETWEEN TIMESTAMP '1996-12-10' AND TIMESTAMP '1997-02-10'
   AND strftime(record_time, '%Y_%m') IN ('1996_12', '1997_01')""",
+    "jdbc_append_once": f"WITH {_EVENTS} SELECT {_RECORD_COLUMNS} FROM ev WHERE {_WHOLE}",
 }

@@ -8,15 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.functions.times import TABLE_PREFIX, normalize_ts, shard_months, shard_name
+from roadpulse.functions.times import TABLE_PREFIX, normalize_ts, shard_keys, shard_months, shard_name
 from roadpulse.operators.behavior import (
     behavior_summary,
     drivers_in_range,
     summary_display,
     summary_json,
 )
-from roadpulse.operators.filters import for_driver, in_range
 from roadpulse.operators import load
+from roadpulse.operators.compact import compact_month
+from roadpulse.operators.filters import for_driver, in_range
 from roadpulse.operators.load import append_telemetry, load_folder, load_log, table_path
 from roadpulse.operators.parse import (
     ingest_report,
@@ -43,10 +44,11 @@ from roadpulse.plans.views import (
     table,
     upload_line,
 )
-from roadpulse.schema import SPEED_INPUT, TELEMETRY_COLUMNS
+from roadpulse.schema import SPEED_INPUT, TABLE_SCHEMA, TELEMETRY_COLUMNS
 from roadpulse.session import scratch_folder
 from roadpulse.sources.files import admit_files, drop_seen_files
-from roadpulse.sources.jdbc import append_jdbc, read_jdbc_telemetry
+from roadpulse.sources.jdbc import append_jdbc, append_jdbc_once, read_jdbc_shard, read_jdbc_telemetry
+from roadpulse.sources.manifest import remove_replaced
 from roadpulse.sources.table import (
     read_shards,
     read_telemetry,
@@ -118,6 +120,11 @@ def speed_series_as_json(spark, sf_dir):
     return speed_series_json(for_driver(_events(spark, sf_dir), DRIVER))
 
 
+def speed_series_json_all(spark, sf_dir):
+    """The series of every driver as JSON."""
+    return speed_series_json(_events(spark, sf_dir))
+
+
 def speed_points_clean(spark, sf_dir):
     return naive_times(speed_points(_events(spark, sf_dir)))
 
@@ -153,6 +160,20 @@ def window_lists_daily(spark, sf_dir):
     )
 
 
+def window_lists_parts(spark, sf_dir):
+    """Windows of 400 days in parts of 16 samples; lists shown as text."""
+    lists = window_lists(_events(spark, sf_dir), *WHOLE, minutes=400 * 1440, max_points=16)
+    speeds = F.transform("speeds", lambda s: s.cast("int").cast("string"))
+    return lists.select(
+        "driverID",
+        "window_index",
+        "part",
+        F.array_join("labels", ",").alias("labels"),
+        F.array_join(speeds, ",").alias("speeds"),
+        F.array_join("colours", ",").alias("colours"),
+    )
+
+
 # --- month shards ------------------------------------------------------------
 
 
@@ -213,6 +234,22 @@ def shards_with_missing_month(spark, sf_dir):
     return naive_times(read_shards(spark, readers).select(*SPEED_INPUT))
 
 
+def every_shard_and_missing(spark, sf_dir):
+    """One reader for every month from before the first order to after the last; some do not exist."""
+    path = _orders_table(spark, sf_dir)
+    edges = table(spark, sf_dir, "orders").selectExpr(
+        "date_format(add_months(min(o_orderdate), -2), 'yyyy-MM-dd') AS lo",
+        "date_format(add_months(max(o_orderdate), 2), 'yyyy-MM-dd') AS hi",
+    ).first()
+    if edges.lo is None:
+        return naive_times(read_shards(spark, {}).select(*SPEED_INPUT))
+    readers = {
+        month: lambda month=month: spark.read.schema(TABLE_SCHEMA).parquet(f"{path}/shard={month}")
+        for month in shard_keys(edges.lo, edges.hi)
+    }
+    return naive_times(read_shards(spark, readers).select(*SPEED_INPUT))
+
+
 def union_missing_columns(spark, sf_dir):
     events = _events(spark, sf_dir).select("driverID", "record_time", "speed")
     orders = _orders(spark, sf_dir).select("driverID", "record_time", "isOverspeed")
@@ -363,6 +400,24 @@ def stream_ingest(spark, sf_dir):
     return naive_times(read_telemetry(spark, table_path(f"{out}/store"), *WHOLE))
 
 
+def folded_records(spark, sf_dir):
+    """Events stored by four loads, folded month by month, then a fifth load and one that is repeated."""
+    path = scratch_folder(spark, "folded-table")
+    events = with_shard(_events(spark, sf_dir), route="record_time")
+
+    def load_part(part: int) -> None:
+        append_telemetry(events.filter(F.pmod("direction", F.lit(5)) == part), path, f"load-{part}")
+
+    for part in range(4):
+        load_part(part)
+    for (month,) in sorted(events.select("shard").distinct().collect()):
+        compact_month(spark, path, month)
+        remove_replaced(spark, path, month)
+    load_part(4)
+    load_part(0)
+    return naive_times(read_telemetry(spark, path, *WHOLE))
+
+
 def load_report_per_file(spark, sf_dir):
     """Lines seen, stored and rejected of every upload, as the load wrote them into its log."""
     uploads, out = scratch_folder(spark, "uploads"), scratch_folder(spark, "load")
@@ -436,6 +491,22 @@ def jdbc_roundtrip(spark, sf_dir):
     return naive_times(found.select(*TELEMETRY_COLUMNS))
 
 
+def jdbc_append_once(spark, sf_dir):
+    """All events through a database table in three loads, each of them appended twice.
+
+    The table's name is new for each run, so that a run on a shared database starts from nothing.
+    """
+    options = _jdbc_options(spark)
+    name = f"{TABLE_PREFIX}once_{uuid.uuid4().hex[:8]}"
+    events = _events(spark, sf_dir)
+    for part in range(3):
+        mine = events.filter(F.pmod("direction", F.lit(3)) == part)
+        for _ in range(2):
+            append_jdbc_once(mine, name, options, f"load-{part}")
+    found = read_jdbc_shard(spark, name, *WHOLE, options=options)
+    return naive_times(found)
+
+
 def _jdbc_options(spark: SparkSession) -> dict:
     url = spark.conf.get("spark.roadpulse.jdbc.url", None)
     if url is not None:
@@ -461,12 +532,14 @@ QUERIES: dict[str, Query] = {
         speed_series_all,
         speed_series_driver,
         speed_series_as_json,
+        speed_series_json_all,
         speed_points_clean,
         speed_windows_3min,
         speed_windows_driver,
         overspeed_window_alerts,
         window_points_3min,
         window_lists_daily,
+        window_lists_parts,
         month_shards_range,
         month_row_counts,
         multi_shard_records,
@@ -474,6 +547,7 @@ QUERIES: dict[str, Query] = {
         multi_shard_drivers,
         multi_shard_speed,
         shards_with_missing_month,
+        every_shard_and_missing,
         union_missing_columns,
         normalized_times,
         file_admission,
@@ -483,11 +557,13 @@ QUERIES: dict[str, Query] = {
         ingest_rejects,
         ingest_counts,
         folder_load,
+        folded_records,
         stream_ingest,
         load_report_per_file,
         refused_uploads,
         stream_speed_windows,
         stream_late_windows,
         jdbc_roundtrip,
+        jdbc_append_once,
     )
 }
