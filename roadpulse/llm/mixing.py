@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,9 @@ from roadpulse.session import written
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
+# Preferences are rounded to sixteenths up to 64, so that a source has at most 1,024 of them.
+_TASTE_STEPS, _TASTE_MOST = 16, 64
+_HALVINGS = 52
 _WORD = r"[^\x20\x09-\x0D]+"
 _BINS = 4096
 _DRAW_HEX = 13  # hexadecimal digits of a draw: 52 bits, exact in a double
@@ -62,6 +67,7 @@ def mix_sources(
     weights: tuple[int, ...] = WEIGHTS,
     most: int = MOST_COPIES,
     preference: str | None = None,
+    size_steps: Sequence[tuple[int, float]] = (),
 ) -> DataFrame:
     """How many words of every row of ``docs(doc_id, source, text)`` the mix takes.
 
@@ -70,23 +76,32 @@ def mix_sources(
     source_size is given to each of its documents as certain copies; the rest p is the
     inclusion probability of one more. Documents are ranked by u/(1-u) divided by p/(1-p), u a hash
     of id and text, and taken in this order until the words left are reached, so that
-    a source misses its target by half a document at most. A ``preference`` column (1 is
-    neutral) makes probabilities unequal within a source too: 1-(1-p)^preference.
+    a source misses its target by half a document at most.
+
+    A ``preference`` column of docs (1 is neutral, NULL too) makes probabilities unequal within a source, or
+    ``size_steps``: (500, 4.0) gives documents of at least 500 words a preference of 4, later steps
+    before earlier ones. A document's probability is then 1-(1-q)^preference, with the q of its source
+    at which the expected words are the words left. Preferences count to a sixteenth, from a sixteenth to 64.
 
     NULL text has no words; NULL sources are one source. Equal rows draw alike. The order is
     cut by a histogram of ranks; only the rows of a source's last bin are sorted.
     """
     taste = F.coalesce(F.col(preference).cast("double"), F.lit(1.0)) if preference else F.lit(1.0)
+    unequal = preference is not None or len(size_steps) > 0
     identity = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    rows = written(
-        docs.select(
-            "doc_id", "source", word_count(F.col("text")).alias("size"),
-            draw(identity, F.md5(F.coalesce("text", F.lit("")))).alias("u"),
-            F.xxhash64("text").alias("text_hash"),
-            taste.alias("taste"),
-        ),
-        "mix-rows",
+    sized = docs.select(
+        "doc_id", "source", word_count(F.col("text")).alias("size"),
+        draw(identity, F.md5(F.coalesce("text", F.lit("")))).alias("u"),
+        F.xxhash64("text").alias("text_hash"),
+        taste.alias("taste"),
     )
+    if unequal:
+        given = F.col("taste")
+        for least, value in size_steps:
+            given = F.when(F.col("size") >= least, F.lit(float(value))).otherwise(given)
+        bounded = F.least(F.greatest(F.round(given * _TASTE_STEPS), F.lit(1.0)), F.lit(float(_TASTE_MOST * _TASTE_STEPS)))
+        sized = sized.withColumn("taste", bounded / _TASTE_STEPS)
+    rows = written(sized, "mix-rows")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     ratio = F.col("target") / F.col("source_size")
     whole = F.when(F.col("source_size") > 0, F.floor(ratio)).otherwise(0).cast("bigint")
@@ -97,6 +112,8 @@ def mix_sources(
         .withColumn("p", F.when(F.col("source_size") > 0, ratio - F.col("whole")).otherwise(0.0)),
         "mix-targets",
     )
+    if unequal:
+        targets = written(_calibrated(rows, targets), "mix-calibrated")
     ranked = _ranked(rows, targets)
     bins = ranked.groupBy("source", "bin").agg(F.sum("size").alias("words"))
     ends = bins.selectExpr(
@@ -136,6 +153,35 @@ def mix_sources(
     )
 
 
+def _calibrated(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """Targets with ``p`` replaced by the q at which preferences give the words left, found by halving.
+
+    A source's words by preference are one short list (see ``_TASTE_STEPS``), added up before any shuffle.
+    """
+    tastes = rows.groupBy("source", "taste").agg(F.sum("size").alias("words"))
+    lists = tastes.groupBy(F.col("source").alias("s")).agg(
+        F.sort_array(F.collect_list(F.struct("taste", "words"))).alias("tastes")
+    )
+
+    def expected(q: Column) -> Column:
+        return F.aggregate(
+            "tastes", F.lit(0.0), lambda total, t: total + t["words"] * (1 - F.pow(1 - q, t["taste"]))
+        )
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = (at["low"] + at["high"]) / 2
+        short = expected(middle) < F.col("words_left")
+        return F.struct(
+            F.when(short, middle).otherwise(at["low"]).alias("low"),
+            F.when(short, at["high"]).otherwise(middle).alias("high"),
+        )
+
+    start = F.struct(F.lit(0.0).alias("low"), F.lit(1.0).alias("high"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(_HALVINGS)), start, halve, lambda at: at["high"])
+    joined = targets.join(lists, F.col("source").eqNullSafe(F.col("s")), "left")
+    return joined.withColumn("p", F.when(F.col("p") > 0, found).otherwise(0.0)).drop("s", "tastes")
+
+
 def repeat_mixed(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES
 ) -> DataFrame:

@@ -114,7 +114,8 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(_table(spark, sf_dir, "documents")).select(
+    """Longer documents are preferred: twofold from 50 words, fourfold from 500."""
+    return mix_sources(_table(spark, sf_dir, "documents"), size_steps=((50, 2.0), (500, 4.0))).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
 
@@ -199,7 +200,7 @@ window same as (partition by t)
 """,
     "op8_decontamination": _WINDOWS.format(lowered=_LOWERED),
     "op10_mixing": r"""
-with sized as (
+with recursive sized as (
     select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
            (cast('0x' || substr(md5(concat(coalesce(cast(doc_id as varchar), ''), ':', md5(coalesce(text, '')))), 1, 13) as bigint) + 0.5)
              / 4503599627370496.0 as u
@@ -229,12 +230,34 @@ with sized as (
     from marked, level
 ), planned as (
     select *, case when source_size > 0 then cast(floor(target / source_size) as bigint) else 0 end as whole from targets
+), started as (
+    select *, target - whole * source_size as words_left,
+           case when source_size > 0 then target / source_size - whole else 0 end as p from planned
+), tastes as (
+    select source, taste, sum(size) as words
+    from (select *, case when size >= 500 then 4.0::double when size >= 50 then 2.0::double else 1.0::double end as taste from sized)
+    group by all
+), lists as (
+    select source, list({'taste': taste, 'words': words::double} order by taste) as entries from tastes group by source
+), halved as (
+    select s.source, s.words_left, l.entries, 0.0::double as low, 1.0::double as high, 0 as step
+    from started s join lists l on s.source is not distinct from l.source
+    union all
+    select source, words_left, entries, case when short then middle else low end, case when short then high else middle end, step + 1
+    from (
+        select *, (low + high) / 2 as middle,
+               list_sum(list_transform(entries, lambda e: e.words * (1 - pow(1 - (low + high) / 2, e.taste)))) < words_left as short
+        from halved where step < 52
+    )
+), chances as (
+    select s.*, p.source_size, p.target, p.whole, p.words_left, p.p,
+           1 - pow(1 - h.high, case when s.size >= 500 then 4.0::double when s.size >= 50 then 2.0::double else 1.0::double end) as chance
+    from sized s join started p on s.source is not distinct from p.source
+    join halved h on s.source is not distinct from h.source and h.step = 52
 ), ranked as (
-    select s.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size as words_left,
-           case when p.source_size > 0 then p.target / p.source_size - p.whole else 0 end as p
-    from sized s join planned p on s.source is not distinct from p.source
+    select *, u * (1 - chance) / (u * (1 - chance) + (1 - u) * chance) as z from chances
 ), running as (
-    select *, sum(size) over (partition by source order by u, doc_id, size rows unbounded preceding) as ends from ranked
+    select *, sum(size) over (partition by source order by z, doc_id, size rows unbounded preceding) as ends from ranked
 )
 select doc_id, size, source_size, target,
        cast((whole + case when p > 0 and 2 * ends - size <= 2 * words_left then 1 else 0 end) * size as bigint) as taken
