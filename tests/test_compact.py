@@ -85,6 +85,20 @@ def test_the_later_of_two_folds_gives_way(spark, path, monkeypatch):
     assert len(glob.glob(f"{path}/_folded/shard={MONTH}/*")) == 1
 
 
+def test_removal_leaves_the_files_of_a_fold_at_work(spark, path, monkeypatch):
+    compact_month(spark, path, MONTH)
+    load(spark, path, "new")
+    before = stored(spark, path)
+
+    def meanwhile(spark, path, month, *rest):
+        assert remove_replaced(spark, path, month) == 6
+        return publish(spark, path, month, *rest)
+
+    monkeypatch.setattr("roadpulse.operators.compact.publish", meanwhile)
+    assert compact_month(spark, path, MONTH).rows == 280
+    assert stored(spark, path) == before
+
+
 def test_a_fold_that_is_cut_off_leaves_the_loads(spark, path, monkeypatch):
     before = stored(spark, path)
     monkeypatch.setattr("roadpulse.operators.compact.publish", lambda *_: 1 / 0)
