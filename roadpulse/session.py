@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _SHARED_FOLDER = "spark.checkpoint.dir"
 _WAREHOUSE = "spark.sql.warehouse.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 TIME_ENCODING = "spark.sql.parquet.outputTimestampType"
 
 
@@ -66,6 +67,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the shuffle files of queries that end within, instead of when the driver's memory is cleaned."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 @contextmanager
 def prunable_times(spark: SparkSession) -> Iterator[None]:
     """Write timestamps as 64-bit microseconds, whose footers a time filter can use."""
