@@ -9,12 +9,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import map_texts, pieces, unit_hash
-from roadpulse.session import written
+from roadpulse.llm.common import pieces, unit_hash
+from roadpulse.session import shuffles_removed, written
 
 BLOCK_BYTES = 18_000_000  # text of one block
 PART_BYTES = 24_000_000  # text whose n-grams one part counts: about as many keys as a tenth of it
+HELD_SHARE = 0.1  # of the learnable texts, at every size of the input
 _BUCKETS = 65
+_BINS = 4  # of an octave, for the estimates of held-out tokens
 _ADDED = 0.1  # of the base score
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -123,140 +125,79 @@ def _estimates(pair, context, word, n_tokens: int, n_types: int) -> np.ndarray:
     )
 
 
-def learn_weights(pair, context, word, n_tokens: int, n_types: int, rounds: int = 100) -> np.ndarray:
+def cell(pair: np.ndarray, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Number of the cell of a held-out token: bucket of its context, and its two estimates to a quarter octave."""
+    share = np.where(pair > 0, 1 + _steps(np.maximum(context, 1) / np.maximum(pair, 1)), 0)
+    often = np.where(word > 0, 1 + _steps(np.maximum(word, 1)), 0)
+    return (bucket(context) << 20) + (share << 10) + often
+
+
+def _steps(values: np.ndarray) -> np.ndarray:
+    return (_BINS * np.log2(values)).astype(np.int64)
+
+
+def learn_weights(
+    buckets: np.ndarray, times: np.ndarray, estimates: np.ndarray, rounds: int = 100
+) -> np.ndarray:
     """Mixture weights by bucket, by expectation-maximisation on held-out counts.
 
-    Every bucket starts from, and is held by five tokens to, the weights of all buckets together.
+    A row stands for ``times`` held-out tokens with about the same estimates. Every bucket
+    starts from, and is held by five tokens to, the weights of all buckets together.
     """
-    estimates, buckets = _estimates(pair, context, word, n_tokens, n_types), bucket(context)
 
-    def maximise(rows: np.ndarray, start: np.ndarray, held: float) -> np.ndarray:
+    def maximise(rows: np.ndarray, n: np.ndarray, start: np.ndarray, held: float) -> np.ndarray:
         weights = start.copy()
         for _ in range(rounds if len(rows) else 0):
             parts = rows * weights
-            parts /= np.maximum(parts.sum(axis=1, keepdims=True), 1e-300)
+            parts *= (n / np.maximum(parts.sum(axis=1), 1e-300))[:, None]
             weights = parts.sum(axis=0) + held * start
             weights /= weights.sum()
         return weights
 
-    shared = maximise(estimates, np.full(3, 1 / 3), 1e-3)
-    learned = np.array([maximise(estimates[buckets == b], shared, 5.0) for b in range(_BUCKETS)])
+    shared = maximise(estimates, times, np.full(3, 1 / 3), 1e-3)
+    learned = np.array(
+        [maximise(estimates[buckets == b], times[buckets == b], shared, 5.0) for b in range(_BUCKETS)]
+    )
     # After an unseen context there is no bigram estimate to give weight to.
     learned[0] = [0, *(learned[0][1:] / learned[0][1:].sum())]
     return learned
 
 
-def _held_out_positions(texts: list[bytes | None], most: int) -> dict[str, list]:
-    """Keys of word, context and pair at up to ``most`` evenly spaced tokens of each text."""
-    out = []
-    for text in texts:
-        words, pairs = ngram_keys(*tokens([text]))
-        before = np.concatenate((np.array([_END]), words[:-1]))
-        chosen = np.unique(np.linspace(0, len(words) - 1, min(most, len(words))).round().astype(int))
-        out.append(np.stack([words[chosen], before[chosen], pairs[chosen]]).astype(np.uint64).tobytes())
-    return {"positions": out}
-
-
-def train_interpolation(
-    docs: DataFrame, rows: int = 400, positions: int = 1000
-) -> Interpolation:
-    """Learn the weights for ``docs(doc_id, learn, text)``, and count tokens and types.
+@dataclass(frozen=True)
+class Counted:
+    """Texts in blocks, and what other blocks count of the n-grams of each.
 
-    About ``rows`` learnable documents, drawn by a hash of doc_id, are held out (deleted); up to
-    ``positions`` evenly spaced tokens of each are the held-out counts. What their n-grams
-    count in all other learnable documents comes from one pass over all of them, which also
-    counts all tokens and types.
+    ``answers`` has, by block and part of the key space, the count of each of the block's keys in the learnable texts
+    of all other blocks, and for blocks of held-out texts also that in texts not held out.
     """
-    learnable = docs.filter("learn")
-    number = learnable.count()
-    held = unit_hash(F.col("doc_id"), salt="deleted") < F.lit(min(0.1, rows / max(number, 1)))
-    learnable = learnable.withColumn("held", held)
-    sampled = map_texts(
-        learnable.filter("held"), lambda: lambda t: _held_out_positions(t, positions),
-        "positions binary",
-    ).limit(2 * rows).collect()
-    keys = np.concatenate(
-        [np.zeros((3, 0), np.uint64)]
-        + [np.frombuffer(r.positions, np.uint64).reshape(3, -1) for r in sampled], axis=1
-    )
-    wanted = np.unique(keys)
-
-    def count(batches):
-        for batch in batches:
-            found = []
-            flags = np.array(batch.column(0).to_pylist(), dtype=bool)
-            words, pairs = _batch_keys(batch.column(1).cast(pa.binary()))
-            kept = ~np.repeat(flags, words[1])
-            alone, times = np.unique(words[0], return_counts=True)
-            among, among_times = np.unique(words[0][kept], return_counts=True)
-            seen = np.zeros(len(alone), dtype=np.int64)
-            seen[np.searchsorted(alone, among)] = among_times
-            found.append((alone, times, seen, np.ones(len(alone), dtype=bool)))
-            of_sample = pairs[kept & _contains(wanted, pairs)]
-            pair, times = np.unique(of_sample, return_counts=True)
-            found.append((pair, np.zeros(len(pair), np.int64), times, np.zeros(len(pair), bool)))
-            key, n, rest, single = (np.concatenate(x) for x in zip(*found))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), pa.array(n), pa.array(rest), pa.array(single)],
-                names=["key", "n", "rest", "single"],
-            )
-
-    counted = written(
-        learnable.select("held", "text")
-        .mapInArrow(count, "key bigint, n bigint, rest bigint, single boolean")
-        .groupBy("key", "single").agg(F.sum("n").alias("n"), F.sum("rest").alias("rest")),
-        "ngram-counts",
-    )
-    totals = counted.filter("single").agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum("rest"), F.lit(0)),
-        F.count_if(F.col("rest") > 0),
-    ).first()
-    spark = docs.sparkSession
-    sample_keys = spark.createDataFrame(pa.table({"key": pa.array(wanted.view(np.int64))}))
-    # The keys of the sample: at most 3 * rows * positions of 8 bytes.
-    table = counted.join(F.broadcast(sample_keys), "key", "left_semi").select("key", "rest").toArrow()
-    at = table["key"].to_numpy().view(np.uint64)
-    order = np.argsort(at)
-    at, rest = at[order], table["rest"].to_numpy()[order]
-
-    def counts(which: np.ndarray) -> np.ndarray:
-        if not len(at):
-            return np.zeros(len(which))
-        place = np.minimum(np.searchsorted(at, which), len(at) - 1)
-        return np.where(at[place] == which, rest[place], 0).astype(float)
-
-    word, context, pair = (counts(k) for k in keys)
-    weights = learn_weights(pair, context, word, totals[2], totals[3])
-    return Interpolation(weights, int(totals[0]), int(totals[1]))
-
 
-def _batch_keys(texts: pa.Array):
-    words, sizes = tokens(texts.to_pylist())
-    alone, pairs = ngram_keys(words, sizes)
-    return (alone, sizes), pairs
-
-
-def _contains(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
-    if not len(ordered):
-        return np.zeros(len(values), dtype=bool)
-    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+    blocks: DataFrame
+    answers: DataFrame
+    n_open: int  # blocks from this number on are of held-out texts
+    n_blocks: int
+    n_parts: int
+    tokens: int
+    types: int
+    open_tokens: int
+    open_types: int
 
 
-def score_texts(docs: DataFrame, model: Interpolation) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score and score for every row of ``docs(doc_id, learn, text)``.
+def count_ngrams(docs: DataFrame, held_share: float = HELD_SHARE) -> Counted:
+    """Count the n-grams of ``docs(doc_id, learn, text)`` for learning weights and for scoring.
 
-    Texts are dealt to blocks of about BLOCK_BYTES by a hash of the row. A block names its distinct
-    n-grams with their count in its learnable texts; the parts of the key space add them up
-    and answer a block, key by key in its own order, with what all others count; then the block's texts, from
-    the same exchange, are scored with exact totals. What is shuffled follows the input; a frequent
-    n-gram is one entry for each block.
+    Texts are dealt to blocks of about BLOCK_BYTES by a hash of the row; the share ``held_share`` of the learnable ones,
+    drawn by a hash of doc_id, is held out (deleted) and has blocks of its own. A block names its distinct n-grams with
+    their count in its learnable texts; the parts of the key space add them up and answer a block, key by key
+    in its own order. Tasks grow in number with the input, so none grows in size; a frequent n-gram is one entry for
+    each block.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks, n_parts = 1 + size // BLOCK_BYTES, 1 + size // PART_BYTES
-    blocks = docs.select(
-        "doc_id", "learn", "text",
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).alias("block"),
-    )
+    n_open, n_parts = 1 + size // BLOCK_BYTES, 1 + size // PART_BYTES
+    n_blocks = n_open + 1 + int(size * held_share) // BLOCK_BYTES
+    held = F.col("learn") & (unit_hash(F.col("doc_id"), salt="deleted") < held_share)
+    row = F.xxhash64("doc_id", "text")
+    block = F.when(held, n_open + F.pmod(row, F.lit(n_blocks - n_open))).otherwise(F.pmod(row, F.lit(n_open)))
+    blocks = docs.select("doc_id", "learn", "text", block.alias("block"))
 
     def count(table: pa.Table) -> pa.Table:
         block = table["block"][0].as_py()
@@ -271,42 +212,106 @@ def score_texts(docs: DataFrame, model: Interpolation) -> DataFrame:
 
     def total(table: pa.Table) -> pa.Table:
         keys, counts = _flat(table["keys"]), _flat(table["counts"])
+        sizes = pa.compute.list_value_length(table["keys"]).to_numpy()
+        deleted = table["block"].to_numpy() >= n_open
         order = np.argsort(keys, kind="stable")
         first = np.flatnonzero(np.diff(keys[order], prepend=~keys[order][:1]))
-        sums = np.add.reduceat(counts[order], first, dtype=np.int64)
-        others = np.empty(len(keys), dtype=np.int64)
-        others[order] = np.repeat(sums, np.diff(np.append(first, len(keys))))
+        times = np.diff(np.append(first, len(keys)))
+        of_held = np.repeat(deleted, sizes)
+
+        def summed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            sums = np.add.reduceat(values[order], first, dtype=np.int64)
+            spread = np.empty(len(keys), dtype=np.int64)
+            spread[order] = np.repeat(sums, times)
+            return sums, spread
+
+        sums, others = summed(counts)
+        open_sums, rest = summed(np.where(of_held, 0, counts))
         others -= counts
-        sizes = pa.compute.list_value_length(table["keys"]).to_numpy()
-        offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
+        # One more row, without a block, has the sums of the part's single tokens.
+        single = table["part"][0].as_py() % 2 == 0
+        told = [x for v in (sums, open_sums) for x in (int(v.sum()), int((v > 0).sum()))] if single else [0] * 4
+        stops = np.append(0, np.cumsum(sizes))
+        kept = np.append(0, np.cumsum(np.where(deleted, sizes, 0)))
         return pa.table(
             {
-                "block": table["block"],
-                "part": table["part"],
-                "others": pa.ListArray.from_arrays(offsets, pa.array(others)),
+                "block": pa.array([*table["block"].to_pylist(), None], pa.int64()),
+                "part": pa.array([*table["part"].to_pylist(), None], pa.int64()),
+                "others": pa.ListArray.from_arrays(
+                    np.append(stops, stops[-1] + 4).astype(np.int32), pa.array(np.append(others, told))
+                ),
+                "rest": pa.ListArray.from_arrays(
+                    np.append(kept, kept[-1]).astype(np.int32), pa.array(rest[of_held])
+                ),
             }
         )
 
+    counted = _by(blocks, "block", n_blocks).applyInArrow(
+        count, "part bigint, block bigint, keys array<bigint>, counts array<int>"
+    )
+    with shuffles_removed(docs.sparkSession):
+        answers = written(
+            _by(counted, "part", 2 * n_parts).applyInArrow(
+                total, "block bigint, part bigint, others array<bigint>, rest array<bigint>"
+            ),
+            "ngram-counts",
+        )
+    sums = answers.filter("block is null").agg(
+        *[F.coalesce(F.sum(F.get("others", F.lit(i))), F.lit(0)) for i in range(4)]
+    ).first()
+    return Counted(blocks, answers.filter("block is not null"), n_open, n_blocks, n_parts, *map(int, sums))
+
+
+def train_interpolation(counted: Counted) -> Interpolation:
+    """Learn the weights from every token of the held-out texts.
+
+    Estimates come from the learnable texts that are not held out. Held-out tokens
+    are counted by cells of their bucket and estimates, some 500,000 at most at any size of the input, and
+    a cell is as many tokens with its mean estimates.
+    """
+
+    n_parts = counted.n_parts
+
+    def cells(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return pa.table([pa.array([], k) for k in kinds], names=names)
+        (word, pair), context, _ = _looked_up(texts, _answered(answers, "rest"), n_parts, False)
+        place, at = np.unique(cell(pair, context, word), return_inverse=True)
+        share = pair / np.maximum(context, 1)
+        return pa.table(
+            [place, np.bincount(at).astype(np.int64), np.bincount(at, share), np.bincount(at, word)], names=names
+        )
+
+    names, kinds = ["cell", "n", "share", "word"], [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    held, groups = F.col("block") >= counted.n_open, counted.n_blocks - counted.n_open
+    answers = counted.answers.filter(held).select("block", "part", "rest")
+    table = (
+        _by(counted.blocks.filter(held), "block", groups).cogroup(_by(answers, "block", groups))
+        .applyInArrow(cells, "cell bigint, n bigint, share double, word double")
+        .groupBy("cell").agg(*[F.sum(c).alias(c) for c in names[1:]]).toArrow()
+    )
+    place, times, share, word = (table[c].to_numpy() for c in names)
+    estimates = np.column_stack(
+        [
+            share / np.maximum(times, 1), word / np.maximum(times, 1) / max(counted.open_tokens, 1),
+            np.full(len(place), 1 / (counted.open_types + 1)),
+        ]
+    )
+    weights = learn_weights(place >> 20, times, estimates)
+    return Interpolation(weights, counted.tokens, counted.types)
+
+
+def score_texts(counted: Counted, model: Interpolation) -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score and score for every counted row."""
+    n_parts = counted.n_parts
+
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         if not texts.num_rows:
             ids = pa.array([], texts.schema.field("doc_id").type)
             return pa.table([ids, *(pa.array([], kind) for kind in out_types)], names=out_names)
-        answered = {}
-        for chunk in answers.to_batches():
-            lists = chunk.column("others")
-            for at, part in enumerate(chunk.column("part").to_pylist()):
-                answered[part] = lists[at].values.to_numpy()
-        counted, places, sizes = _block_counts(texts, places=True)
-        found = []
-        for order, ((key, n), place) in enumerate(zip(counted, places)):
-            for part, cut in _parts(key, n_parts):
-                n[cut] += answered[2 * part + order]
-            found.append(n[place].astype(float))
+        found, context, sizes = _looked_up(texts, _answered(answers, "others"), n_parts, True)
         word, pair = found
-        end = word[sizes[0] - 1]
         firsts = np.cumsum(sizes) - sizes
-        context = np.roll(word, 1)
-        context[firsts] = end
         base = np.log10(word + _ADDED) - np.log10(model.tokens + _ADDED * (model.types + 1))
         own = np.empty(len(word))
         for at in range(0, len(word), 1 << 18):
@@ -320,28 +325,57 @@ def score_texts(docs: DataFrame, model: Interpolation) -> DataFrame:
 
     out_names = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
     out_types = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    counted = blocks.groupBy("block").applyInArrow(
-        count, "part bigint, block bigint, keys array<bigint>, counts array<int>"
-    )
-    answers = counted.groupBy("part").applyInArrow(
-        total, "block bigint, part bigint, others array<bigint>"
-    )
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    kind = counted.blocks.schema["doc_id"].dataType.simpleString()
+    return _by(counted.blocks, "block", counted.n_blocks).cogroup(
+        _by(counted.answers.select("block", "part", "others"), "block", counted.n_blocks)
+    ).applyInArrow(
         score, f"doc_id {kind}, n_tokens bigint, n_known bigint, base_score double, score double"
     )
 
 
+def _by(df: DataFrame, key: str, groups: int):
+    """Groups by a key, in about as many tasks as there are groups, 100,000 at most."""
+    return df.repartition(min(2 * groups, 100_000), key).groupBy(key)
+
+
+def _answered(answers: pa.Table, name: str) -> dict[int, np.ndarray]:
+    """Counts by part, of the answers to one block."""
+    out = {}
+    for chunk in answers.to_batches():
+        lists = chunk.column(chunk.schema.get_field_index(name))
+        for at, part in enumerate(chunk.column(chunk.schema.get_field_index("part")).to_pylist()):
+            out[part] = lists[at].values.to_numpy()
+    return out
+
+
+def _looked_up(texts: pa.Table, answered: dict[int, np.ndarray], n_parts: int, own: bool):
+    """Counts of every token alone and in its pair, of its context, and the tokens by text.
+
+    ``own`` adds what the block's own learnable texts count to the answers of others.
+    """
+    counted, places, sizes = _block_counts(texts, places=True)
+    found = []
+    for order, ((key, n), place) in enumerate(zip(counted, places)):
+        if not own:
+            n = np.zeros_like(n)
+        for part, cut in _parts(key, n_parts):
+            n[cut] += answered[2 * part + order]
+        found.append(n[place].astype(float))
+    context = np.roll(found[0], 1)
+    context[np.cumsum(sizes) - sizes] = found[0][sizes[0] - 1]
+    return found, context, sizes
+
+
 def _flat(lists: pa.ChunkedArray) -> np.ndarray:
     return np.concatenate([chunk.flatten().to_numpy() for chunk in lists.chunks])
 
 
 def _parts(key: np.ndarray, n_parts: int):
     """The parts of the key space that have some of the ordered keys, and the slice of each."""
-    width = (1 << 64) // n_parts + 1
-    edges = np.array([k * width for k in range(1, n_parts)], dtype=np.uint64)
-    cuts = [0, *np.searchsorted(key, edges).tolist(), len(key)]
-    return [(k, slice(a, b)) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+    part = key // np.uint64((1 << 64) // n_parts + 1) if n_parts > 1 else np.zeros(len(key), np.uint64)
+    first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(key) else np.zeros(0, np.int64)
+    stops = np.append(first[1:], len(key))
+    return [(int(part[a]), slice(int(a), int(b))) for a, b in zip(first, stops)]
 
 
 def _block_counts(table: pa.Table, places: bool = False):
@@ -370,8 +404,9 @@ def lm_scores(docs: DataFrame, learn: Column) -> tuple[DataFrame, Interpolation]
 
     Tokens are words with A to Z lowered, and an end for each text; NULL is the empty text. A row whose ``learn``
     is NULL is scored and not learned from; other columns are ignored. Without any learnable row every token has the
-    uniform chance. n-grams are told apart by 64-bit hashes.
+    uniform chance. n-grams are told apart by 64-bit hashes. Equal rows get equal scores.
     """
     rows = docs.select("doc_id", F.coalesce(learn, F.lit(False)).alias("learn"), "text")
-    model = train_interpolation(rows)
-    return score_texts(rows, model), model
+    counted = count_ngrams(rows)
+    model = train_interpolation(counted)
+    return score_texts(counted, model), model
