@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -24,6 +25,10 @@ KINDS = ("assign", "access", "hex", "random")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _SIZE = len(ALPHABET)
+# What random strings are drawn from, the smaller first: hexadecimal, base 32, capitals, small letters, base 62, all.
+ALPHABETS = ("0-9a-f", "0-9A-F", "A-Z2-7", "A-Z0-9", "a-z0-9", "A-Za-z0-9", "A-Za-z0-9+/_=-")
+_UNIFORM = 20.0  # samples of each pair that a uniform model counts as
+_CAPITALS = 0.05
 _TOKEN = r"[A-Za-z0-9+/_=-]"
 CANDIDATE_LENGTH = 20
 _IDENTIFIER_LENGTH = 8
@@ -119,29 +124,55 @@ def base_spans(text: Column) -> Column:
     )
 
 
+def _alphabet(token: Column) -> Column:
+    """Number of the smallest of ALPHABETS that has all characters of a token."""
+    found = F
+    for at, letters in enumerate(ALPHABETS[:-1]):
+        found = found.when(token.rlike(f"^[{letters}]*$"), at)
+    return found.otherwise(len(ALPHABETS) - 1)
+
+
+def _characters(token: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the characters of a token, cut once, however long it is."""
+    return _let(F.split(token, ""), body)
+
+
+def _numbers(values: np.ndarray) -> Column:
+    """A constant array; one text for the driver to hand over."""
+    return F.split(F.lit(",".join(f"{v:.5g}" for v in values.ravel())), ",").cast("array<double>")
+
+
 @dataclass(frozen=True)
 class SecretModel:
-    """Log-likelihood ratios of character pairs and the least mean and total of a secret."""
+    """Log-likelihood ratios of character pairs by alphabet, and the least mean and total of a secret."""
 
     ratios: np.ndarray
     least_mean: float
     least_total: float
 
     def evidence(self, token: Column) -> Column:
-        """Log-likelihood ratio of a token: random string against ordinary identifier."""
+        """Log-likelihood ratio of a token: random string of its alphabet against ordinary identifier."""
         codes = np.zeros(128, dtype=np.int32)
         for at, letter in enumerate(ALPHABET):
             codes[ord(letter)] = at
-        table, code = F.lit(self.ratios.ravel()), F.lit(codes)
+        code, ratios = F.lit(codes), _numbers(self.ratios)
 
-        def at(i: Column) -> Column:
-            return F.get(code, F.ascii(F.substring(token, i, F.lit(1))))
+        def total(state: Column) -> Column:
+            def pair(i: Column) -> Column:
+                place = F.get(state["codes"], i - 1) * _SIZE + F.get(state["codes"], i)
+                return F.get(ratios, state["first"] + place)
 
-        return F.aggregate(
-            F.sequence(F.lit(1), F.length(token) - 1),
-            F.lit(0.0),
-            lambda total, i: total + F.get(table, at(i) * _SIZE + at(i + 1)),
-        )
+            return F.aggregate(
+                F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0), lambda sum_, i: sum_ + pair(i)
+            )
+
+        def read(characters: Column) -> Column:
+            return F.struct(
+                F.transform(characters, lambda c: F.get(code, F.ascii(c))).alias("codes"),
+                (_alphabet(token) * (_SIZE * _SIZE)).alias("first"),
+            )
+
+        return _characters(token, lambda characters: _let(read(characters), total))
 
     def is_secret(self, token: Column) -> Column:
         return _let(
@@ -178,14 +209,13 @@ def labelled_tokens(docs: DataFrame, rows: int = 20_000) -> DataFrame:
 def train_secret_model(samples: DataFrame, most_false: float = 1e-4) -> SecretModel:
     """Fit both Markov models on ``samples(token, secret)``.
 
-    The collected counts are at most one for each pair of the alphabet and label. A fifth of each
-    model is uniform, so alphabets that no sample shows stay possible.
+    The collected counts are at most one for each pair of characters, alphabet and label. The random model of an
+    alphabet starts uniform, as strings drawn from it are, and labelled secrets move it.
 
     Ordinary samples hold every random string the base patterns miss. So a first ordinary model is fitted on
     tokens that recur, and then twice on all but those the model before finds likelier random; these
-    set no limit either. A secret's mean evidence must lie at least halfway from that of all but
-    ``most_false`` of the ordinary samples to the lowest hundredth of the secret ones, which it need not exceed.
-    Without secret samples the random model is uniform.
+    set no limit either. A secret's mean evidence must exceed that of all but ``most_false`` of the ordinary
+    samples. Labelled secrets shape the random models alone, so alphabets that none of them shows are found as well.
     """
     tokens = written(
         samples.filter(F.length("token") > 1).groupBy("secret", "token").agg(F.count("*").alias("n")),
@@ -199,36 +229,49 @@ def train_secret_model(samples: DataFrame, most_false: float = 1e-4) -> SecretMo
         ordinary = tokens.filter(~random)
         model = _fit(ordinary)
     mean = model.evidence(F.col("token")) / (F.length("token") - 1)
-    limits = dict(
-        (r.secret, r.limit) for r in ordinary.filter(judged).groupBy("secret").agg(
-            F.when(F.col("secret"), F.percentile(mean, F.lit(0.01), F.col("n")))
-            .otherwise(F.percentile(mean, F.lit(1 - most_false), F.col("n"))).alias("limit")
-        ).collect()
-    )
-    highest = max(0.0, limits.get(False) or 0.0)
-    lowest = limits.get(True)
-    lowest = highest if lowest is None else max(0.0, lowest)
-    halfway = (min(highest, lowest) + lowest) / 2
-    return SecretModel(model.ratios, halfway, math.log(1e4))
+    highest = ordinary.filter(judged & ~F.col("secret")).agg(
+        F.percentile(mean, F.lit(1 - most_false), F.col("n"))
+    ).first()[0]
+    return SecretModel(model.ratios, max(0.0, highest or 0.0), model.least_total)
 
 
 def _fit(tokens: DataFrame) -> SecretModel:
-    """Ratios of both Markov models of ``tokens(token, secret, n)``."""
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.length("token") - 1),
-        lambda i: F.substring(F.col("token"), i, F.lit(2)),
+    """Ratios of the Markov models of ``tokens(token, secret, n)``, one random model for each alphabet."""
+    pairs = _characters(
+        F.col("token"),
+        lambda characters: F.transform(
+            F.sequence(F.lit(1), F.length("token") - 1),
+            lambda i: F.concat(F.get(characters, i - 1), F.get(characters, i)),
+        ),
     )
-    counts = np.zeros((2, _SIZE, _SIZE))
+    random, plain = np.zeros((len(ALPHABETS), _SIZE, _SIZE)), np.zeros((_SIZE, _SIZE))
     place = {letter: at for at, letter in enumerate(ALPHABET)}
-    known = F.col("pair").rlike(f"^{_TOKEN}{{2}}$")
+    kind = F.when(F.col("secret"), _alphabet(F.col("token")))
+    # A secret that many documents share is one draw.
+    times = F.when(F.col("secret"), F.lit(1)).otherwise(F.col("n"))
     for row in (
-        tokens.select("secret", "n", F.explode(pairs).alias("pair")).filter(known)
-        .groupBy("secret", "pair").agg(F.sum("n").alias("times")).collect()
+        tokens.select(kind.alias("kind"), times.alias("n"), F.explode(pairs).alias("pair"))
+        .filter(F.col("pair").rlike(f"^{_TOKEN}{{2}}$"))
+        .groupBy("kind", "pair").agg(F.sum("n").alias("times")).collect()
     ):
-        counts[int(row.secret), place[row.pair[0]], place[row.pair[1]]] = row.times
-    smooth = (counts + 0.01) / (counts + 0.01).sum(axis=2, keepdims=True)
-    chances = 0.8 * smooth + 0.2 / _SIZE
-    return SecretModel(np.log(chances[1] / chances[0]), 0.0, math.log(1e4))
+        first, second = row.pair
+        if row.kind is not None:
+            random[row.kind, place[first], place[second]] += row.times
+            continue
+        plain[place[first], place[second]] += row.times
+        # Ordinary words are ordinary in capitals too, alone or as a first letter.
+        for other in {row.pair.upper(), row.pair.capitalize()} - {row.pair}:
+            plain[place[other[0]], place[other[1]]] += _CAPITALS * row.times
+    plain = (plain + 0.01) / (plain + 0.01).sum(axis=1, keepdims=True)
+    # One character over and over is a ruler or a filler, not a secret.
+    plain = 0.7 * plain + 0.1 * np.eye(_SIZE) + 0.2 / _SIZE
+    for at, letters in enumerate(ALPHABETS):
+        inside = np.array([re.match(f"[{letters}]", c) is not None for c in ALPHABET])
+        weight = _UNIFORM * inside
+        random[at] = (random[at] + weight) / (random[at] + weight).sum(axis=1, keepdims=True)
+        random[at][~np.outer(inside, inside)] = 1.0  # never looked up
+    ratios = np.log(random) - np.log(plain)
+    return SecretModel(ratios, 0.0, math.log(1e4 * len(ALPHABETS)))
 
 
 def find_secrets(docs: DataFrame, model: SecretModel, carry: list[str] | None = None) -> DataFrame:
@@ -236,7 +279,7 @@ def find_secrets(docs: DataFrame, model: SecretModel, carry: list[str] | None =
 
     Offsets count characters; ``kind`` is a place in KINDS; spans are ordered by start and kind. To the
     base spans the models add tokens of 20 characters or more that touch no base span and are
-    likelier random than ordinary. NULL texts are empty. Everything is one narrow stage.
+    likelier random than ordinary. NULL texts are empty; time is linear in a token's length. Everything is one narrow stage.
     """
     text = F.coalesce("text", F.lit(""))
     candidate = _TOKEN + "{" + str(CANDIDATE_LENGTH) + ",}"
